@@ -14,15 +14,17 @@ from pyspark.sql import functions as F
 from panelwright.functions.text import squeeze
 from panelwright.operators.joins import keep_first
 
-# Named entities decoded besides the numeric ones.
+# Named references decoded besides the numeric ones.
 ENTITIES = (
-    ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"),
+    ("nbsp", " "), ("quot", '"'), ("apos", "'"),
     ("aacute", "á"), ("eacute", "é"), ("iacute", "í"), ("oacute", "ó"), ("uacute", "ú"),
     ("Aacute", "Á"), ("Eacute", "É"), ("Iacute", "Í"), ("Oacute", "Ó"), ("Uacute", "Ú"),
     ("ntilde", "ñ"), ("Ntilde", "Ñ"), ("uuml", "ü"), ("Uuml", "Ü"), ("iquest", "¿"), ("iexcl", "¡"),
     ("ordm", "º"), ("ordf", "ª"), ("laquo", "«"), ("raquo", "»"), ("middot", "·"), ("copy", "©"),
-    ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("deg", "°"), ("amp", "&"),
+    ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("deg", "°"),
 )
+# References that would look like markup, decoded after tags are gone.
+MARKUP_ENTITIES = (("lt", "<"), ("gt", ">"), ("amp", "&"))
 # Attributes of the overview table: output column, label shown, accepted spelling.
 OVERVIEW_ATTRIBUTES = (
     ("valido", "Válido", r"(?iu)^válido$"),
@@ -64,65 +66,85 @@ def clean_html(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
 
 
-def unescape(c: Column) -> Column:
-    """Named and numeric character references as characters."""
-    def numeric(text: Column, mark: str, digits: str, base: int) -> Column:
-        pieces = F.split(text, mark)
-        def decoded(piece: Column) -> Column:
-            number = F.regexp_extract(piece, digits, 1)
-            point = F.lpad(F.conv(number, base, 16), 8, "0")
-            rest = F.regexp_replace(piece, digits, "")
-            return F.when(number != "", F.concat(F.decode(F.unhex(point), "UTF-32BE"), rest)).otherwise(piece)
-        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
-        joined = F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
-        return F.when(text.contains(mark), joined).otherwise(text)
-
-    # At most U+FFFFF in hexadecimal and U+99999 in decimal, so decoding cannot fail.
-    out = numeric(numeric(c, "&#x", r"^(?!0*d[89a-fA-F])([0-9a-fA-F]{1,5});", 16), "&#", r"^(?!5[5-7]\d{3};)(\d{1,5});", 10)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(c.contains("&"), out).otherwise(c)
+def _decode_numbers(text: Column, mark: str, digits: str, base: int) -> Column:
+    """Numeric references of one base as characters."""
+    pieces = F.split(text, mark)
 
+    def decoded(piece: Column) -> Column:
+        number = F.regexp_extract(piece, digits, 1)
+        point = F.lpad(F.conv(number, base, 16), 8, "0")
+        rest = F.regexp_replace(piece, digits, "")
+        return F.when(number != "", F.concat(F.decode(F.unhex(point), "UTF-32"), rest)).otherwise(F.concat(F.lit(mark), piece))
 
-def strip_tags(c: Column | str) -> Column:
-    """Text of a fragment: tags become blanks, references are decoded, blanks squeezed."""
-    return squeeze(unescape(F.regexp_replace(_col(c), "<[^>]*>", " ")))
+    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    joined = F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+    return F.when(text.contains(mark), joined).otherwise(text)
 
 
-def pieces_by_heading(c: Column) -> Column:
-    """A cleaned page cut before each h2, h3 or h4; the first piece has no heading."""
-    return F.split(c, r"(?i)(?=<h[234]\b)")
+def decoded_pages(pages: DataFrame) -> DataFrame:
+    """Adds ``_page``: cleaned, with every reference but those of < > & decoded.
 
+    Each step is a column of its own, so that a page is rewritten once per step.
+    """
+    page = F.col("_page")
+    markup = page
+    for pattern, name in ((r"&#(0*60|[xX]0*3[cC]);", "&lt;"), (r"&#(0*62|[xX]0*3[eE]);", "&gt;"), (r"&#(0*38|[xX]0*26);", "&amp;")):
+        markup = F.regexp_replace(markup, pattern, name)
+    named = page
+    for name, char in ENTITIES:
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
+    return (
+        pages.withColumn("_page", clean_html("html"))
+        .withColumn("_page", F.when(page.contains("&#"), markup).otherwise(page))
+        # At most five digits and no surrogates, so decoding cannot fail.
+        .withColumn("_page", _decode_numbers(page, "&#x", r"^(?!0*[dD][89a-fA-F])([0-9a-fA-F]{1,5});", 16))
+        .withColumn("_page", _decode_numbers(page, "&#", r"^(?!0*5[5-7]\d{3};)(\d{1,5});", 10))
+        .withColumn("_page", F.when(page.contains("&"), named).otherwise(page))
+    )
 
-def heading_text(piece: Column) -> Column:
-    return strip_tags(F.regexp_extract(piece, "^" + HEADING, 2))
 
+def strip_tags(c: Column | str) -> Column:
+    """Text of a decoded fragment: tags become blanks, blanks are squeezed."""
+    text = F.regexp_replace(_col(c), "<[^>]*>", " ")
+    for name, char in MARKUP_ENTITIES:
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    return squeeze(text)
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """Adds ``_page`` and ``_pieces``: the page cut before each h2, h3 or h4, with the heading's text."""
+    pieces = F.transform(
+        F.split("_page", r"(?i)(?=<h[234]\b)"),
+        lambda p: F.struct(F.lower(strip_tags(F.regexp_extract(p, "^" + HEADING, 2))).alias("name"), p.alias("html")),
+    )
+    return decoded_pages(pages).withColumn("_pieces", pieces)
 
-def after_heading(page: Column, names: Sequence[str]) -> Column:
-    """The page from the first heading that contains one of the names; null without one."""
-    pieces = pieces_by_heading(page)
-    lowered = [n.lower() for n in names]
 
-    def matches(piece: Column) -> Column:
-        text = F.lower(heading_text(piece))
-        out = F.lit(False)
-        for name in lowered:
-            out = out | text.contains(name)
-        return out
+def _named(piece: Column, names: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for name in names:
+        out = out | piece["name"].contains(name.lower())
+    return out
+
 
-    flags = F.transform(pieces, matches)
-    at = F.array_position(flags, F.lit(True)).cast("int")
-    rest = F.array_join(F.slice(pieces, F.greatest(at, F.lit(1)), F.size(pieces)), "")
+def _after_heading(names: Sequence[str]) -> Column:
+    """The page from the first heading that contains one of the names; null without one."""
+    pieces = F.col("_pieces")
+    at = F.array_position(F.transform(pieces, lambda p: _named(p, names)), F.lit(True)).cast("int")
+    rest = F.array_join(F.transform(F.slice(pieces, F.greatest(at, F.lit(1)), F.size(pieces)), lambda p: p["html"]), "")
     return F.when(at > 0, rest)
 
 
-def first_table(fragment: Column) -> Column:
-    """First table of a fragment; null without one."""
-    return F.nullif(F.regexp_extract(fragment, TABLE, 0), F.lit(""))
+def _tables(page: Column) -> Column:
+    return F.regexp_extract_all(page, F.lit(TABLE), 0)
+
+
+def _first_table(fragment: Column) -> Column:
+    return F.get(_tables(fragment), F.lit(0))
 
 
 def table_rows(table: Column) -> Column:
-    """array<array<string>>: the data cells of every row."""
+    """array<array<string>>: the data cells of every row that has two or more."""
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?(?=<tr\b|</table|$)"), 0)
     cells = F.transform(
         rows, lambda r: F.transform(
@@ -132,54 +154,72 @@ def table_rows(table: Column) -> Column:
     return F.filter(cells, lambda cs: F.size(cs) >= 2)
 
 
-def overview(page: Column) -> Column:
-    """struct of the seven overview attributes, '' where the page has none."""
-    labels = [shown for _, shown, _ in OVERVIEW_ATTRIBUTES]
-
+def _overview_rows() -> Column:
     def has_label(table: Column) -> Column:
         text = strip_tags(table)
         out = F.lit(False)
-        for label in labels:
-            out = out | text.contains(label)
+        for _, shown, _ in OVERVIEW_ATTRIBUTES:
+            out = out | text.contains(shown)
         return out
 
-    tables = F.regexp_extract_all(page, F.lit(TABLE), 0)
-    any_table = F.get(F.filter(tables, has_label), F.lit(0))
-    rows = table_rows(F.coalesce(first_table(after_heading(page, OVERVIEW_HEADINGS)), any_table))
+    any_table = F.get(F.filter(_tables(F.col("_page")), has_label), F.lit(0))
+    return table_rows(F.coalesce(_first_table(_after_heading(OVERVIEW_HEADINGS)), any_table))
 
+
+def _overview_values(rows: Column) -> list[Column]:
     def value(pattern: str) -> Column:
         # A repeated label: the last row counts.
         found = F.filter(rows, lambda cs: F.get(cs, F.lit(0)).rlike(pattern))
         return F.coalesce(F.get(F.try_element_at(found, F.lit(-1)), F.lit(1)), F.lit(""))
 
-    return F.struct(*[value(pattern).alias(name) for name, _, pattern in OVERVIEW_ATTRIBUTES])
+    return [value(pattern).alias(name) for name, _, pattern in OVERVIEW_ATTRIBUTES]
 
 
-def question(page: Column) -> Column:
-    """The first text after the 'Pregunta literal' label, before the next heading or section."""
-    scope = F.coalesce(after_heading(page, [QUESTION_HEADING]), page)
-    # From the end of the label (and of the elements it closes) to the next heading.
-    label = QUESTION_LABEL + r"\s*:?\s*"
-    found = F.regexp_extract(scope, "(?s)" + label + r"(?:</[^>]+>\s*)*(.*)$", 1)
-    part = F.get(F.split(found, r"(?i)<h[234]\b"), F.lit(0))
+def overview(pages: DataFrame) -> DataFrame:
+    """The seven overview attributes of each page, '' where it has none."""
+    rows = parsed_pages(pages).withColumn("_rows", _overview_rows())
+    return rows.select("page_id", *_overview_values(F.col("_rows")))
+
+
+def _question_part() -> Column:
+    """From the end of the question label to the next heading."""
+    scope = F.coalesce(_after_heading([QUESTION_HEADING]), F.col("_page"))
+    label = "(?s)" + QUESTION_LABEL + r"\s*:?\s*(?:</[^>]+>\s*)*(.*)$"
+    return F.get(F.split(F.regexp_extract(scope, label, 1), r"(?i)<h[234]\b"), F.lit(0))
+
+
+def _question_texts(part: Column) -> Column:
+    """Texts of the elements and bare text nodes of a fragment, in order."""
     element = r"(?is)<(p|div|span|td|li|strong|b|em|i)\b[^>]*>.*?</\1\s*>|<[^>]*>|[^<]+"
     texts = F.transform(F.regexp_extract_all(part, F.lit(element), 0), strip_tags)
-    telling = F.filter(texts, lambda t: (t != "") & ~t.rlike("^" + QUESTION_LABEL) & ~t.rlike(r"^[:.\s]+$"))
-    first = F.get(telling, F.lit(0))
+    return F.filter(texts, lambda t: (t != "") & ~t.rlike("^" + QUESTION_LABEL) & ~t.rlike(r"^[:.\s]+$"))
+
+
+def _question_value(texts: Column) -> Column:
+    first = F.get(texts, F.lit(0))
     return F.when(first.isNull() | first.rlike(OTHER_SECTIONS), "").otherwise(first)
 
 
-def categories(page: Column) -> Column:
-    """array of (valor, categoria, casos, porcentaje); short rows are padded with ''."""
+def question(pages: DataFrame) -> DataFrame:
+    """The first text after the 'Pregunta literal' label, before the next heading or section."""
+    part = parsed_pages(pages).withColumn("_part", _question_part())
+    return part.withColumn("_texts", _question_texts(F.col("_part"))).select(
+        "page_id", _question_value(F.col("_texts")).alias("pregunta")
+    )
+
+
+def _category_rows() -> Column:
     def is_category_table(table: Column) -> Column:
         head = F.regexp_extract_all(table, F.lit(r"(?is)<th\b[^>]*>(.*?)</th"), 1)
         first_row = F.regexp_extract_all(F.regexp_extract(table, r"(?is)<tr\b.*?</tr", 0), F.lit(r"(?is)<td\b[^>]*>(.*?)</td"), 1)
         cells = F.transform(F.when(F.size(head) > 0, head).otherwise(first_row), lambda t: F.lower(strip_tags(t)))
         return F.exists(cells, lambda t: t.contains("valor")) & F.exists(cells, lambda t: t.contains("categor"))
 
-    tables = F.regexp_extract_all(page, F.lit(TABLE), 0)
-    any_table = F.get(F.filter(tables, is_category_table), F.lit(0))
-    rows = table_rows(F.coalesce(first_table(after_heading(page, CATEGORY_HEADINGS)), any_table))
+    any_table = F.get(F.filter(_tables(F.col("_page")), is_category_table), F.lit(0))
+    return table_rows(F.coalesce(_first_table(_after_heading(CATEGORY_HEADINGS)), any_table))
+
+
+def _category_structs(rows: Column) -> Column:
     kept = F.filter(rows, lambda cs: ~F.lower(F.get(cs, F.lit(0))).isin(*NOT_CATEGORIES))
     names = ("valor", "categoria", "casos", "porcentaje")
     found = F.transform(
@@ -188,6 +228,12 @@ def categories(page: Column) -> Column:
     return F.coalesce(found, F.array().cast(CATEGORY_TYPE))
 
 
+def categories(pages: DataFrame) -> DataFrame:
+    """array of (valor, categoria, casos, porcentaje) per page; short rows are padded with ''."""
+    rows = parsed_pages(pages).withColumn("_rows", _category_rows())
+    return rows.select("page_id", _category_structs(F.col("_rows")).alias("categorias"))
+
+
 def split_title(c: Column | str) -> Column:
     """``Label (CODE)`` -> struct(label, code); without a code the whole text is the label."""
     text = strip_tags(_col(c))
@@ -198,19 +244,29 @@ def split_title(c: Column | str) -> Column:
     )
 
 
-def section(page: Column, names: Sequence[str]) -> Column:
-    """Paragraph text from a heading to the next; the first name that yields text wins."""
-    def one(name: str) -> Column:
-        own = F.get(F.filter(
-            pieces_by_heading(page), lambda p: F.lower(heading_text(p)).contains(name.lower())
-        ), F.lit(0))
-        # Without a heading, a bold label opens the section.
-        bold = F.regexp_extract(page, rf"(?isu)<strong\b[^>]*>[^<]*{name}[^<]*</strong\s*>\s*(?:</[^>]+>)?(.*?)(?=<h[234]\b|<strong\b|$)", 1)
-        body = F.coalesce(F.regexp_replace(own, "^" + HEADING, ""), bold)
-        prose = F.regexp_replace(body, r"(?is)<(table|ul|ol|dl)\b.*?</\1\s*>", " ")
-        return F.nullif(strip_tags(prose), F.lit(""))
+def _section_html(name: str) -> Column:
+    """Raw section under the first heading with this name, or after a bold label."""
+    own = F.get(F.filter("_pieces", lambda p: _named(p, [name])), F.lit(0))["html"]
+    bold = F.regexp_extract(
+        "_page", rf"(?isu)<strong\b[^>]*>[^<]*{name}[^<]*</strong\s*>\s*(?:</[^>]+>)?(.*?)(?=<h[234]\b|<strong\b|$)", 1
+    )
+    return F.coalesce(F.regexp_replace(own, "^" + HEADING, ""), bold)
+
 
-    return F.coalesce(*[one(n) for n in names], F.lit(""))
+def _section_text(name: str) -> Column:
+    prose = F.regexp_replace(_section_html(name), r"(?is)<(table|ul|ol|dl)\b.*?</\1\s*>", " ")
+    return F.coalesce(strip_tags(prose), F.lit(""))
+
+
+def _section_value(names: Sequence[str]) -> Column:
+    # Texts of all names as one array; the first that is not empty counts.
+    texts = F.array(*[_section_text(n) for n in names])
+    return F.coalesce(F.get(F.filter(texts, lambda t: t != ""), F.lit(0)), F.lit(""))
+
+
+def section(pages: DataFrame, names: Sequence[str], out: str = "section") -> DataFrame:
+    """Paragraph text from a heading to the next; the first name that yields text wins."""
+    return parsed_pages(pages).select("page_id", _section_value(names).alias(out))
 
 
 def absolute_url(base: Column, href: Column) -> Column:
@@ -234,10 +290,10 @@ def absolute_url(base: Column, href: Column) -> Column:
 
 def anchors(pages: DataFrame) -> DataFrame:
     """(page_id, url, pos, href, text): every link of every page, in page order."""
-    found = F.regexp_extract_all(clean_html("html"), F.lit(r"(?is)<a\b[^>]*?href\s*=.*?</a\s*>"), 0)
-    link = pages.select("page_id", "url", F.posexplode(found).alias("pos", "a"))
+    found = F.regexp_extract_all("_page", F.lit(r"(?is)<a\b[^>]*?href\s*=.*?</a\s*>"), 0)
+    link = decoded_pages(pages).select("page_id", "url", F.posexplode(found).alias("pos", "a"))
     raw = F.regexp_extract("a", r"(?is)^<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]*)", 1)
-    return link.select("page_id", "url", "pos", unescape(raw).alias("href"), strip_tags("a").alias("text"))
+    return link.select("page_id", "url", "pos", strip_tags(raw).alias("href"), strip_tags("a").alias("text"))
 
 
 def links(pages: DataFrame, path_test: str = "/variable/", param: str = "name") -> DataFrame:
@@ -303,24 +359,26 @@ def codebook(pages: DataFrame, tabla: Column | None = None, variable: Column | N
     """
     page = F.col("_page")
     own_table = F.regexp_extract("url", r"[?&]file_name=([^&#]*)", 1)
-    own_name = F.regexp_extract("url", r"[?&]name=([^&#]*)", 1)
+    own_name = F.nullif(F.regexp_extract("url", r"[?&]name=([^&#]*)", 1), F.lit(""))
     title = split_title(F.regexp_extract(page, r"(?is)<h2\b[^>]*>(.*?)</h2\s*>", 1))
-    parsed = (
-        pages.withColumn("_page", clean_html("html"))
-        .withColumn("_title", title)
-        .withColumn("_overview", overview(page))
-        .select(
-            (own_table if tabla is None else tabla).alias("tabla"),
-            (F.coalesce(F.nullif(own_name, F.lit("")), F.col("_title.code")) if variable is None else variable).alias("variable"),
-            F.col("_title.label").alias("etiqueta"),
-            question(page).alias("pregunta"),
-            "_overview.*",
-            section(page, DEFINITION_HEADINGS).alias("definicion"),
-            section(page, UNIVERSE_HEADINGS).alias("universo"),
-            section(page, SOURCE_HEADINGS).alias("fuente"),
-            categories(page).alias("categorias"),
-            F.col("url").alias("url_variable"),
-        )
-        .withColumn("categorias_json", F.to_json("categorias"))
-    )
+    # What several output columns read is computed in a step before them.
+    staged = parsed_pages(pages).select(
+        "*",
+        title.alias("_title"),
+        _overview_rows().alias("_overview"),
+        _category_rows().alias("_categories"),
+        _question_part().alias("_part"),
+    ).withColumn("_texts", _question_texts(F.col("_part")))
+    parsed = staged.select(
+        (own_table if tabla is None else tabla).alias("tabla"),
+        (F.coalesce(own_name, F.col("_title.code")) if variable is None else variable).alias("variable"),
+        F.col("_title.label").alias("etiqueta"),
+        _question_value(F.col("_texts")).alias("pregunta"),
+        *_overview_values(F.col("_overview")),
+        _section_value(DEFINITION_HEADINGS).alias("definicion"),
+        _section_value(UNIVERSE_HEADINGS).alias("universo"),
+        _section_value(SOURCE_HEADINGS).alias("fuente"),
+        _category_structs(F.col("_categories")).alias("categorias"),
+        F.col("url").alias("url_variable"),
+    ).withColumn("categorias_json", F.to_json("categorias"))
     return codebook_schema(with_error(parsed, F.col("etiqueta"), "page has no title"))

@@ -76,11 +76,11 @@ FISCAL_FLAG_SQL = f"""fiscal AS (
 BROKEN_VARIATION = "Variación porcentual anual".encode().decode("latin-1")
 # (indicator, metric, title row, value in Spark SQL and DuckDB alike) over s, n, b, anio
 TIDY_METRICS = (
-    (VALUE_ADDED, REAL, 7, "s * 100 / (100 + 3 * (anio - 1995))"),
+    (VALUE_ADDED, REAL, 7, "s * 100 / (101 + 2 * (anio - 1995))"),
     (VALUE_ADDED, "Índice de volumen físico base 2018=100", 75, "n * 2.0e0"),
     (VALUE_ADDED, BROKEN_VARIATION, 109, "n - 40.0e0"),
     (VALUE_ADDED, NOMINAL, 177, "s"),
-    (VALUE_ADDED, "Índice de precios implícitos base 2018=100", 245, "(100 + 3 * (anio - 1995)) * 1.0e0"),
+    (VALUE_ADDED, "Índice de precios implícitos base 2018=100", 245, "(101 + 2 * (anio - 1995)) * 1.0e0"),
     (VALUE_ADDED, "Variación porcentual del índice de precios implícitos", 279, "3.0e0"),
     (WAGES, NOMINAL, 7, "b"),
     (WAGES, "Índice de valor 2018=100", 75, "b / (n + 0.37e0)"),
@@ -307,11 +307,11 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
         row(F.lit("2"), F.col("p_type")), row(F.lit("Sysmiss"), F.lit("0")), F.lit("</table>"),
         shown("Definici&oacute;n"), F.lit("<p>Parte\n "), F.col("p_name"), F.lit("</p><ul><li>skip</li></ul><p>fin</p>"),
         F.when(F.pmod("p_partkey", F.lit(2)) == 0, F.concat(shown("Universe"), F.lit("<p>Tamaño "), F.col("p_size").cast("string"), F.lit("</p>"))).otherwise(""),
-        shown("Fuente"), F.lit("<div>INE&#71;&#x49; "), F.col("p_type"), F.lit("</div></body></html>"),
+        shown("Fuente"), F.lit("<div>CE&#78;&#x53;O "), F.col("p_type"), F.lit("</div></body></html>"),
     )
     return table(spark, sf, "part").select(
         F.col("p_partkey").alias("page_id"),
-        F.concat(F.lit("https://data.example.org/rnm/index.php/catalog/9/variable/F1/V"), key,
+        F.concat(F.lit("https://data.example.org/cat/index.php/catalog/9/variable/F1/V"), key,
                  F.lit("?file_name=SDEMT124&name="), code).alias("url"),
         html.alias("html"),
     )
@@ -321,11 +321,11 @@ def index_pages(spark: SparkSession, sf: str) -> DataFrame:
     """One index page per order: links to variables (one name twice) and to dictionary files."""
     key = F.col("o_orderkey").cast("string")
     html = F.concat(
-        F.lit("<ul><li><a class=n href=\"/rnm/catalog/9/variable/F2/V1?name=v%20"), key, F.lit("&amp;x=1\">uno</a></li>"),
+        F.lit("<ul><li><a class=n href=\"/cat/catalog/9/variable/F2/V1?name=v%20"), key, F.lit("&amp;x=1\">uno</a></li>"),
         F.lit("<li><a href='variable/V2?name=b'>dos</a></li><li><a href='../variable/V3?name=b'>tres</a></li>"),
         F.lit("<li><a href='/other?name=c'>no</a></li><li><a href='/variable/V4?id=1'>no</a></li>"),
-        F.lit("<a href='/rnm/catalog/9/data-dictionary/F"), key, F.lit("?file_name=T"), key, F.lit("'>T"), key, F.lit("</a></ul>"),
+        F.lit("<a href='/cat/catalog/9/data-dictionary/F"), key, F.lit("?file_name=T"), key, F.lit("'>T"), key, F.lit("</a></ul>"),
     )
     return table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("page_id"), F.lit("https://data.example.org/rnm/catalog/").alias("url"), html.alias("html")
+        F.col("o_orderkey").alias("page_id"), F.lit("https://data.example.org/cat/catalog/").alias("url"), html.alias("html")
     )

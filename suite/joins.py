@@ -93,7 +93,7 @@ def _deflate(spark, sf):
     rows = tidy(spark, sf)
     wages = rows.filter("indicador = 'remuneraciones_comercio_informal'")
     prices = rows.filter("indicador = 'vab_comercio_informal'")
-    return series.add_deflated(wages, prices).select("estado", "anio", "periodo", "metric", F.round("valor", 4).alias("valor"))
+    return series.add_deflated(wages, prices).select("estado", "anio", "periodo", "metric", F.round("valor", 2).alias("valor"))
 
 
 def _deflate_items(spark, sf):
@@ -148,9 +148,9 @@ QUERIES = {
     ),
     "deflate_wages": (
         _deflate,
-        f"""WITH {TIDY_SQL} SELECT estado, anio, periodo, metric, round(valor, 4) AS valor FROM tidy WHERE indicador = 'remuneraciones_comercio_informal'
+        f"""WITH {TIDY_SQL} SELECT estado, anio, periodo, metric, round(valor, 2) AS valor FROM tidy WHERE indicador = 'remuneraciones_comercio_informal'
         UNION ALL SELECT estado, anio, periodo, 'Remuneraciones a precios de 2018 (deflactadas con Índice de precios implícitos del VAB)',
-        round(valor * 100 / (100 + 3 * (anio - 1995)), 4) FROM tidy
+        round(valor * 100 / (101 + 2 * (anio - 1995)), 2) FROM tidy
         WHERE indicador = 'remuneraciones_comercio_informal' AND metric = 'Millones de pesos a precios corrientes'""",
     ),
     "deflate_items": (

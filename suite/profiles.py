@@ -99,7 +99,7 @@ def _annual(spark, sf):
     panel = fiscal_quarters(spark, sf)
     ratio = {"isr_pct": F.try_divide(F.lit(100.0) * F.col("ISR"), F.col("VAB_Informal"))}
     out = aggregates.annual_rollup(panel, ["VAB_Informal", "ISR"], means=["IMSS"], ratios=ratio)
-    return out.select("anio", F.round("VAB_Informal", 2).alias("vab"), F.round("ISR", 3).alias("isr"), F.round("IMSS_mean", 6).alias("imss_mean"), F.round("isr_pct", 8).alias("isr_pct"))
+    return out.select("anio", F.round("VAB_Informal", 2).alias("vab"), F.round("ISR", 4).alias("isr"), F.round("IMSS_mean", 6).alias("imss_mean"), F.round("isr_pct", 8).alias("isr_pct"))
 
 
 def _temporal(spark, sf):
@@ -199,7 +199,7 @@ QUERIES = {
     ),
     "annual_rollup": (
         _annual,
-        f"""WITH {FISCAL_SQL} SELECT CAST(year(fecha) AS INTEGER) AS anio, round(sum(VAB_Informal), 2) AS vab, round(sum(ISR), 3) AS isr,
+        f"""WITH {FISCAL_SQL} SELECT CAST(year(fecha) AS INTEGER) AS anio, round(sum(VAB_Informal), 2) AS vab, round(sum(ISR), 4) AS isr,
         round(avg(IMSS), 6) AS imss_mean, round(100 * sum(ISR) / sum(VAB_Informal), 8) AS isr_pct FROM fiscal GROUP BY 1""",
     ),
     "temporal_profile": (_temporal, _temporal_sql()),

@@ -49,7 +49,7 @@ def _melt(keep):
 def _sorted(spark, sf):
     rows = reshape.tidy_select(tidy(spark, sf))
     return filters.sort_by(rows, ["estado", "indicador", "metric", "fecha", "periodo"]).select(
-        "estado", "anio", "periodo", "fecha", "metric", "indicador", "fuente", F.round("valor", 4).alias("valor")
+        "estado", "anio", "periodo", "fecha", "metric", "indicador", "fuente", F.round("valor", 2).alias("valor")
     )
 
 
@@ -128,7 +128,7 @@ QUERIES = {
         UNION ALL SELECT o_orderkey, 'cust', o_custkey FROM orders""",
     ),
     "tidy_select_sorted": (
-        _sorted, f"WITH {TIDY_SQL} SELECT estado, anio, periodo, fecha, metric, indicador, fuente, round(valor, 4) AS valor FROM tidy",
+        _sorted, f"WITH {TIDY_SQL} SELECT estado, anio, periodo, fecha, metric, indicador, fuente, round(valor, 2) AS valor FROM tidy",
     ),
     "panel_slice_cutoff": (
         _slice,
