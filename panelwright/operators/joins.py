@@ -18,6 +18,15 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, computed once if the session names a checkpoint folder.
+
+    For small inputs that a size check and the query itself would both compute.
+    """
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    return df.checkpoint() if folder else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure a side, reading at most ``max_rows + 1`` of its rows."""
     width = reduce(
@@ -43,7 +52,7 @@ def join_lookup(
     is copied once per salt and joined on key + salt: a key that holds a third of the
     fact is spread over ``salts`` tasks. Both routes give the same rows.
     """
-    on = list(on)
+    on, lookup = list(on), settled(lookup)
     if fits_broadcast(lookup):
         return fact.join(F.broadcast(lookup), on, how)
     salted = fact.withColumn("_salt", row_salt(fact, salts))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.codes import code_variants, plain_code, table_code
 from panelwright.functions.text import strip
-from panelwright.operators.joins import join_lookup
+from panelwright.operators.joins import join_lookup, settled
 
 # Variables with at most this many codes and bytes are looked up in a map; others are joined.
 MAP_CODES = 256
@@ -53,7 +53,7 @@ def _variable_columns(df: DataFrame, dictionary: DataFrame, base: str) -> tuple[
     columns: dict[str, str] = {}
     for c in df.columns:
         columns.setdefault(c.upper(), c)
-    mine = dictionary.filter((F.col("base") == base) & F.col("variable").isin(list(columns)))
+    mine = settled(dictionary.filter((F.col("base") == base) & F.col("variable").isin(list(columns))))
     sizes = mine.groupBy("variable").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("code") + F.octet_length("label")).alias("size")
     )

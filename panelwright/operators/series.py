@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions.text import metric_like
-from panelwright.operators.joins import join_lookup, keep_first, with_total
+from panelwright.operators.joins import join_lookup, keep_first
 
 
 def _month_index(date: str) -> Column:
@@ -51,8 +51,8 @@ def pct_of_max(df: DataFrame, col: str, by: Sequence[str], out: str = "pct_of_ma
 def share_of_total(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "share_pct") -> DataFrame:
     """Percentage of the total, overall or per group; groups with a total <= 0 are left out."""
     if by:
-        total = df.groupBy(*by).agg(F.sum(col).alias(col)).filter(F.col(col) > 0)
-        return with_total(df.join(total.select(*by), list(by), "left_semi"), total, by, col, out)
+        total = df.groupBy(*by).agg(F.sum(col).alias("_total")).filter("_total > 0")
+        return df.join(total, list(by)).withColumn(out, F.lit(100.0) * F.col(col) / F.col("_total")).drop("_total")
     total = df.agg(F.sum(col)).scalar()
     return df.filter(total > 0).withColumn(out, F.lit(100.0) * F.col(col) / total)
 
