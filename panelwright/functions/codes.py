@@ -53,18 +53,14 @@ def yq_from_per(c: Column | str) -> tuple[Column, Column]:
 def table_code(c: Column | str) -> Column:
     """``COE2T424`` -> struct(base, quarter, year, rank); other text -> (letters and digits, 0, 0)."""
     text = F.coalesce(F.upper(strip(c)), F.lit(""))
+    # No match gives '' here, and null numbers below.
     stem = F.regexp_extract(text, TABLE_CODE, 1)
-    base = stem
-    for short, full in BASE_ALIASES:
-        base = F.when(stem == short, full).otherwise(base)
-    matched = text.rlike(TABLE_CODE)
-    quarter = F.when(matched, F.regexp_extract(text, TABLE_CODE, 2).try_cast("int")).otherwise(0)
-    year = F.when(matched, F.regexp_extract(text, TABLE_CODE, 3).try_cast("int")).otherwise(0)
+    full_names = F.create_map(*[F.lit(name) for pair in BASE_ALIASES for name in pair])
+    base = F.coalesce(F.try_element_at(full_names, stem), F.nullif(stem, F.lit("")), F.regexp_replace(text, "[^A-Z0-9]", ""))
+    quarter = F.coalesce(F.regexp_extract(text, TABLE_CODE, 2).try_cast("int"), F.lit(0))
+    year = F.coalesce(F.regexp_extract(text, TABLE_CODE, 3).try_cast("int"), F.lit(0))
     return F.struct(
-        F.when(matched, base).otherwise(F.regexp_replace(text, "[^A-Z0-9]", "")).alias("base"),
-        quarter.alias("quarter"),
-        year.alias("year"),
-        ((year + 2000) * 10 + quarter).alias("rank"),
+        base.alias("base"), quarter.alias("quarter"), year.alias("year"), ((year + 2000) * 10 + quarter).alias("rank")
     )
 
 

@@ -55,8 +55,9 @@ _ACCENTED, _PLAIN = _accent_table()
 
 def strip_accents(c: Column | str) -> Column:
     """Latin letters lose their accents; every other non-ASCII character goes."""
-    plain = F.translate(_col(c), _ACCENTED, _PLAIN)
-    return F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    c = _col(c)
+    plain = F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"[^\x00-\x7F]", "")
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(plain)
 
 
 def slugify(c: Column | str) -> Column:

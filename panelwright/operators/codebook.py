@@ -66,41 +66,35 @@ def clean_html(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
 
 
-def _decode_numbers(text: Column, mark: str, digits: str, base: int) -> Column:
-    """Numeric references of one base as characters."""
-    pieces = F.split(text, mark)
+def _decoded(page: Column) -> Column:
+    """Named and numeric references as characters; those of < > & stay, in named form."""
+    table = F.create_map(*[F.lit(text) for pair in (*ENTITIES, *((n, f"&{n};") for n, _ in MARKUP_ENTITIES)) for text in pair])
+    # At most five digits and no surrogates, so a number always has a character.
+    reference = r"^(#(?!0*5[5-7]\d{3};)\d{1,5}|#[xX](?!0*[dD][89a-fA-F])[0-9a-fA-F]{1,5}|[a-zA-Z]+);"
 
-    def decoded(piece: Column) -> Column:
-        number = F.regexp_extract(piece, digits, 1)
-        point = F.lpad(F.conv(number, base, 16), 8, "0")
-        rest = F.regexp_replace(piece, digits, "")
-        return F.when(number != "", F.concat(F.decode(F.unhex(point), "UTF-32"), rest)).otherwise(F.concat(F.lit(mark), piece))
+    def split_reference(piece: Column) -> Column:
+        return F.struct(F.regexp_extract(piece, reference, 1).alias("ref"), piece.alias("text"))
 
-    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
-    joined = F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
-    return F.when(text.contains(mark), joined).otherwise(text)
+    def character(ref: Column) -> Column:
+        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 5), 16, 16)).otherwise(F.conv(F.substring(ref, 2, 5), 10, 16))
+        markup = F.when(number == "3C", "&lt;").when(number == "3E", "&gt;").when(number == "26", "&amp;")
+        return F.when(
+            ref.startswith("#"), F.coalesce(markup, F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32"))
+        ).otherwise(F.try_element_at(table, ref))
 
+    def join_reference(piece: Column) -> Column:
+        ref, text = piece["ref"], piece["text"]
+        rest = F.substring(text, F.length(ref) + 2, F.length(text))
+        return F.coalesce(F.concat(character(ref), rest), F.concat(F.lit("&"), text))
 
-def decoded_pages(pages: DataFrame) -> DataFrame:
-    """Adds ``_page``: cleaned, with every reference but those of < > & decoded.
+    pieces = F.split(page, "&")
+    tail = F.transform(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), split_reference), join_reference)
+    return F.when(page.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(page)
 
-    Each step is a column of its own, so that a page is rewritten once per step.
-    """
-    page = F.col("_page")
-    markup = page
-    for pattern, name in ((r"&#(0*60|[xX]0*3[cC]);", "&lt;"), (r"&#(0*62|[xX]0*3[eE]);", "&gt;"), (r"&#(0*38|[xX]0*26);", "&amp;")):
-        markup = F.regexp_replace(markup, pattern, name)
-    named = page
-    for name, char in ENTITIES:
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
-    return (
-        pages.withColumn("_page", clean_html("html"))
-        .withColumn("_page", F.when(page.contains("&#"), markup).otherwise(page))
-        # At most five digits and no surrogates, so decoding cannot fail.
-        .withColumn("_page", _decode_numbers(page, "&#x", r"^(?!0*[dD][89a-fA-F])([0-9a-fA-F]{1,5});", 16))
-        .withColumn("_page", _decode_numbers(page, "&#", r"^(?!0*5[5-7]\d{3};)(\d{1,5});", 10))
-        .withColumn("_page", F.when(page.contains("&"), named).otherwise(page))
-    )
+
+def decoded_pages(pages: DataFrame) -> DataFrame:
+    """Adds ``_page``: cleaned, with every reference but those of < > & decoded."""
+    return pages.withColumn("_page", clean_html("html")).withColumn("_page", _decoded(F.col("_page")))
 
 
 def strip_tags(c: Column | str) -> Column:
@@ -111,11 +105,16 @@ def strip_tags(c: Column | str) -> Column:
     return squeeze(text)
 
 
+def heading_name(piece: Column) -> Column:
+    inner = F.regexp_extract(piece, "^" + HEADING, 2)
+    return F.lower(squeeze(F.regexp_replace(inner, "<[^>]*>", " ")))
+
+
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """Adds ``_page`` and ``_pieces``: the page cut before each h2, h3 or h4, with the heading's text."""
     pieces = F.transform(
         F.split("_page", r"(?i)(?=<h[234]\b)"),
-        lambda p: F.struct(F.lower(strip_tags(F.regexp_extract(p, "^" + HEADING, 2))).alias("name"), p.alias("html")),
+        lambda p: F.struct(heading_name(p).alias("name"), p.alias("html")),
     )
     return decoded_pages(pages).withColumn("_pieces", pieces)
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
+from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -163,22 +163,29 @@ def temporal_profile(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFr
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every pair of columns in one pass, as (a, b, corr).
 
-    Pairs with a null are skipped; a constant column gives null.
+    Pairs with a null are skipped; a constant column gives null. A row meets the
+    aggregate once per pair and collapses there, before the shuffle: dozens of
+    aggregates side by side would be too wide for compiled code.
     """
-    cols = list(cols)
-    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    x, y = (lambda c: F.col(c).cast("double")), (lambda c: F.col(c).cast("double"))
-
-    def pearson(a: str, b: str) -> Column:
-        spread = F.sqrt(F.regr_sxx(y(b), x(a)) * F.regr_syy(y(b), x(a)))
-        return F.try_divide(F.regr_sxy(y(b), x(a)), spread)
-
-    pairs = df.groupBy(*by).agg(*[pearson(a, b).alias(f"{a}~{b}") for a, b in upper])
+    pairs = list(combinations_with_replacement(cols, 2))
+    value = {c: F.col(c).cast("double") for c in cols}
     cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}~{b}`" if (a, b) in upper else f"`{b}~{a}`").alias("corr"))
-        for a, b in product(cols, cols)
+        F.struct(F.lit(i).alias("pair"), value[a].alias("x"), value[b].alias("y")) for i, (a, b) in enumerate(pairs)
     ])
-    return pairs.select(*by, F.inline(cells))
+    sums = df.select(*by, F.inline(cells)).groupBy(*by, "pair").agg(
+        F.covar_pop("x", "y").alias("covariance"), F.regr_r2("y", "x").alias("share")
+    )
+    # corr() raises on a constant column. The share of variance does not, but reads 1
+    # for a constant y, where the covariance is 0.
+    corr = F.when(
+        (F.col("covariance") != 0) | (F.col("share") != 1), F.signum("covariance") * F.sqrt("share")
+    )
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    named = sums.select(*by, F.get(names, F.col("pair")).alias("of"), corr.alias("corr"))
+    one_way = F.struct("of.a", "of.b", "corr")
+    other_way = F.struct(F.col("of.b").alias("a"), F.col("of.a").alias("b"), "corr")
+    both = F.when(F.col("of.a") == F.col("of.b"), F.array(one_way)).otherwise(F.array(one_way, other_way))
+    return named.select(*by, F.inline(both))
 
 
 def magnitude_ratio(df: DataFrame, a: str, b: str) -> DataFrame:

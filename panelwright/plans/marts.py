@@ -17,7 +17,7 @@ from panelwright.functions.text import NATION, fix_mojibake, metric_like
 from panelwright.operators import filters, profile, regression, series
 from panelwright.operators.aggregates import pair_counts, single_partner, sum_by
 from panelwright.operators.fiscal import national_measures
-from panelwright.operators.joins import join_on_date, with_total
+from panelwright.operators.joins import join_on_date, settled, with_total
 from panelwright.operators.reshape import pivot_years
 
 # Indicators and metric texts of the analysis.
@@ -75,7 +75,7 @@ def k4(tidy: DataFrame) -> DataFrame:
     Empty when the nation's total is missing or not positive.
     """
     # States and the nation per year are few rows; the last year is taken after the sum.
-    yearly = sum_by(_value_added_at_reference(tidy), ["estado", "anio"], "valor")
+    yearly = settled(sum_by(_value_added_at_reference(tidy), ["estado", "anio"], "valor"))
     last = filters.latest_year(yearly)
     nation = last.filter(F.col("estado") == NATION).filter("valor > 0").select("anio", "valor")
     shared = with_total(last.filter(F.col("estado") != NATION), nation, ["anio"], "valor", "participacion_pct")
@@ -89,7 +89,7 @@ def k4_top(tidy: DataFrame, n: int = 10) -> DataFrame:
 
 def k5(tidy: DataFrame, n: int = 5) -> DataFrame:
     """The nation and the leading states by date, with each state's share of the nation."""
-    dated = sum_by(_value_added_at_reference(tidy), ["estado", "fecha"], "valor")
+    dated = settled(sum_by(_value_added_at_reference(tidy), ["estado", "fecha"], "valor"))
     nation = dated.filter(F.col("estado") == NATION)
     states = dated.filter(F.col("estado") != NATION)
     last = filters.latest_year(states.withColumn("anio", F.year("fecha")))
@@ -158,6 +158,7 @@ def k8_scatter(panel: DataFrame, x: str, y: Sequence[str]) -> DataFrame:
 
 def k9(panel: DataFrame, x: str, y: Sequence[str], order: str = "fecha") -> DataFrame:
     """Elasticities with full inference and residual diagnostics, one row per model."""
+    panel = settled(panel)
     models = regression.ols(panel, y, x)
     tests = regression.ols_diagnostics(panel, models, y, x, order).drop("n")
     return regression.ols_inference(models).join(tests, "series")
@@ -165,6 +166,7 @@ def k9(panel: DataFrame, x: str, y: Sequence[str], order: str = "fecha") -> Data
 
 def k10(panel: DataFrame, a: str, b: str, others: Sequence[str]) -> DataFrame:
     """Means, ratio of means, and correlation of the growth rates with ``a``, as (item, value)."""
+    panel = settled(panel)
     means = profile.magnitude_ratio(panel, a, b).unpivot([], ["mean_a", "mean_b", "ratio"], "item", "value")
     growth = series.yoy(panel, [a, *others])
     cycles = profile.corr_matrix(growth, [f"{c}_yoy" for c in (a, *others)])
