@@ -38,9 +38,13 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def row_salt(df: DataFrame, salts: int) -> Column:
-    """A salt that depends on the row alone, so a retried task repeats it."""
-    plain = [c for c, t in df.dtypes if not t.startswith("map")]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(salts)).cast("int")
+    """A salt from the row and its partition.
+
+    A retried task repeats it, and copies of one row that lie in different partitions
+    get different salts.
+    """
+    plain = [F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
 
 
 def join_lookup(

@@ -44,35 +44,46 @@ def _count_values(df: DataFrame) -> DataFrame:
     )
 
 
+def _narrow(inside: DataFrame) -> DataFrame:
+    """Keep the slices that hold a wanted rank.
+
+    ``inside``: column, part, before, ranks, value, n. Each part of a column is cut
+    into equal-width slices between its own extremes, so that one far value cannot
+    keep the others together for more than one step.
+    """
+    key = ["column", "part"]
+    span = inside.groupBy(*key).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    width = F.col("hi") - F.col("lo")
+    slice_no = F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
+    # One row per part: a column and at most two slices per wanted rank, so it may be broadcast.
+    sliced = inside.join(F.broadcast(span), key).withColumn("slice", F.when(width > 0, slice_no).otherwise(0).cast("int"))
+    totals = sliced.groupBy(*key, "before", "ranks", "total", "slice").agg(F.sum("n").alias("m"))
+    # At most SLICES rows per part reach this window.
+    start = F.col("before") + F.sum("m").over(W.partitionBy(*key).orderBy("slice")) - F.col("m")
+    wanted = (
+        totals.withColumn("start", start)
+        .withColumn("hits", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m"))))
+        .filter(F.size("hits") > 0)
+        .select(*key, "slice", F.col("start").alias("before"), F.col("hits").alias("ranks"))
+    )
+    kept = sliced.drop("before", "ranks", "lo", "hi").join(F.broadcast(wanted), [*key, "slice"])
+    return kept.withColumn("part", F.col("part") * SLICES + F.col("slice")).drop("slice")
+
+
 def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> DataFrame:
     """Exact interpolated quantiles from (column, value, n), without ordering the table.
 
-    Slice totals tell which slice holds each wanted rank; only those slices are then
-    ordered. The result has one row per column with an array in the order of ``probs``.
+    Slice totals tell which slice holds each wanted rank; only those slices are cut
+    again, and only what is left then is ordered. The result has one row per column
+    with an array in the order of ``probs``.
     """
     position = [F.lit(p) * (F.col("total") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    span = counts.groupBy("column").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total")
-    )
-    width = F.col("hi") - F.col("lo")
-    slice_no = F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
     # One row per profiled column: bounded by the schema, so it may be broadcast.
-    sliced = counts.join(F.broadcast(span), "column").withColumn(
-        "slice", F.when(width > 0, slice_no).otherwise(0).cast("int")
-    )
-    totals = sliced.groupBy("column", "slice", "total").agg(F.sum("n").alias("m"))
-    # At most SLICES rows per column reach this window.
-    before = F.sum("m").over(W.partitionBy("column").orderBy("slice")) - F.col("m")
-    wanted = (
-        totals.withColumn("before", before)
-        .withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("m"))))
-        .filter(F.size("ranks") > 0)
-        .select("column", "slice", "before", "ranks")
-    )
-    # At most two slices per wanted probability and column.
-    inside = sliced.join(F.broadcast(wanted), ["column", "slice"])
-    start = F.col("before") + F.sum("n").over(W.partitionBy("column", "slice").orderBy("value")) - F.col("n")
+    total = counts.groupBy("column").agg(F.sum("n").alias("total")).withColumn("ranks", ranks)
+    inside = counts.join(F.broadcast(total), "column").withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
+    inside = _narrow(_narrow(inside))
+    start = F.col("before") + F.sum("n").over(W.partitionBy("column", "part").orderBy("value")) - F.col("n")
     found = (
         inside.withColumn("start", start)
         .withColumn("hit", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n"))))

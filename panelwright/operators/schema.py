@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.codes import safe_name, yq_from_name, yq_from_per
 from panelwright.functions.text import BOM
+from panelwright.operators.joins import join_lookup
 from panelwright.operators.reshape import concat
 
 # The metadata columns that open every microdata table.
@@ -123,7 +124,9 @@ def header_groups(manifest: DataFrame) -> DataFrame:
 def header_group_files(manifest: DataFrame) -> DataFrame:
     """The files of every header group, one row each; unreadable files keep their error."""
     groups = header_groups(manifest).select("header_norm", "n_files", "kind")
-    good = manifest.filter("error is null").select("path", "header_norm").join(groups, "header_norm")
+    good = manifest.filter("error is null").select("path", "header_norm")
+    # One header may belong to a third of the files.
+    good = join_lookup(good, groups, ["header_norm"], "inner")
     bad = manifest.filter("error is not null").select("path", "error")
     return concat([good.withColumn("error", F.lit(None).cast("string")), bad])
 

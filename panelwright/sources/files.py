@@ -57,7 +57,9 @@ def with_heads(files: DataFrame, n_bytes: int = HEAD_BYTES) -> DataFrame:
             yield pd.DataFrame({**{c: batch[c] for c in batch.columns}, "head": heads, "error": errors})
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    spread = files.repartition(F.col("path"))
+    # A stated number of partitions: paths are small, but opening files is slow.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = files.repartition(tasks, "path")
     return spread.mapInPandas(read, f"{schema}, head binary, error string")
 
 

@@ -58,17 +58,18 @@ def read_micro_csv(spark: SparkSession, manifest: DataFrame, multi_line: bool =
     One scan per distinct (encoding, delimiter, header), not per file. The driver holds
     file names only, as any Spark scan does.
     """
-    groups = (
-        manifest.filter("error is null and size(header) > 0")
-        .groupBy("encoding", "delimiter", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header", "encoding", "delimiter")
-        .collect()
-    )
+    usable = manifest.filter("error is null and size(header) > 0")
+    kind = F.struct("encoding", "delimiter", "header")
+    usable = usable.select("path", kind.alias("kind"), F.md5(F.to_json(kind)).alias("id"))
+    kinds = {r["id"]: r["kind"] for r in usable.groupBy("id").agg(F.any_value("kind").alias("kind")).collect()}
+    paths: dict[str, list[str]] = {}
+    for r in usable.select("id", "path").orderBy("path").toLocalIterator():
+        paths.setdefault(r["id"], []).append(r["path"])
+    groups = sorted(((kinds[i], found) for i, found in paths.items()), key=lambda g: g[1][0])
     if not groups:
         raise ValueError("no readable file in the manifest")
     tables = []
-    for g in groups:
-        part = read_group(spark, g["paths"], g["header"], g["encoding"], g["delimiter"], multi_line)
+    for kind, found in groups:
+        part = read_group(spark, found, kind["header"], kind["encoding"], kind["delimiter"], multi_line)
         tables.append(add_period_meta(part, "_file", per).drop("_file"))
     return union_by_name(tables)

@@ -9,19 +9,16 @@ from pyspark.sql import functions as F
 
 
 def write_master(
-    df: DataFrame, path: str, partitions: Sequence[str] = ("anio", "trimestre"), compression: str = "zstd", spread: int = 64
+    df: DataFrame, path: str, partitions: Sequence[str] = ("anio", "trimestre"), compression: str = "zstd"
 ) -> None:
-    """Parquet by year and quarter.
+    """Parquet by year and quarter, replacing only the quarters present in ``df``.
 
-    Rows meet their partition's writers in up to ``spread`` tasks each, so a quarter
-    with most of the rows is written in parallel and small quarters stay in few files.
-    Only the quarters present in ``df`` are replaced.
+    Rows are brought together by quarter. The rebalance hint lets Spark split a quarter
+    that holds most rows over many tasks and merge small ones, by measured size.
     """
     cols = [c for c in partitions if c in df.columns]
-    plain = [F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(spread)))
-    shuffled = salted.repartition(*[F.col(c) for c in cols], "_salt").drop("_salt") if cols else df
-    writer = shuffled.write.mode("overwrite").option("compression", compression)
+    together = df.hint("rebalance", *[F.col(c) for c in cols]) if cols else df
+    writer = together.write.mode("overwrite").option("compression", compression)
     if cols:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
     writer.parquet(path)
