@@ -97,12 +97,16 @@ def decoded_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_page", clean_html("html")).withColumn("_page", _decoded(F.col("_page")))
 
 
+def plain_markup(c: Column) -> Column:
+    """< > & written out, once tags are gone."""
+    for name, char in MARKUP_ENTITIES:
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
+    return c
+
+
 def strip_tags(c: Column | str) -> Column:
     """Text of a decoded fragment: tags become blanks, blanks are squeezed."""
-    text = F.regexp_replace(_col(c), "<[^>]*>", " ")
-    for name, char in MARKUP_ENTITIES:
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return squeeze(text)
+    return squeeze(plain_markup(F.regexp_replace(_col(c), "<[^>]*>", " ")))
 
 
 def heading_name(piece: Column) -> Column:
@@ -234,7 +238,7 @@ def categories(pages: DataFrame) -> DataFrame:
 
 
 def split_title(c: Column | str) -> Column:
-    """``Label (CODE)`` -> struct(label, code); without a code the whole text is the label."""
+    """``Label (CODE)`` of a decoded page -> struct(label, code); without a code all is label."""
     text = strip_tags(_col(c))
     pattern = r"^(.*)\(([^)]+)\)\s*$"
     return F.struct(
@@ -282,17 +286,22 @@ def absolute_url(base: Column, href: Column) -> Column:
         .when(href == "", base)
         .otherwise(F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
     )
+    folded = joined
     for _ in range(4):
-        joined = F.when(joined.contains("/../"), F.regexp_replace(joined, r"^(\w[\w+.-]*://[^/]+(?:/[^/]+)*?)/[^/]+/\.\./", "$1/")).otherwise(joined)
-    return joined
+        folded = F.regexp_replace(folded, r"^(\w[\w+.-]*://[^/]+(?:/[^/]+)*?)/[^/]+/\.\./", "$1/")
+    return F.when(href.contains("../"), folded).otherwise(joined)
+
 
+def anchors(pages: DataFrame, containing: str = "") -> DataFrame:
+    """(page_id, url, pos, href, text): every link of every page, in page order.
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """(page_id, url, pos, href, text): every link of every page, in page order."""
+    ``containing`` drops anchors without that text before they are taken apart.
+    """
     found = F.regexp_extract_all("_page", F.lit(r"(?is)<a\b[^>]*?href\s*=.*?</a\s*>"), 0)
     link = decoded_pages(pages).select("page_id", "url", F.posexplode(found).alias("pos", "a"))
+    link = link.filter(F.col("a").contains(containing)) if containing else link
     raw = F.regexp_extract("a", r"(?is)^<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]*)", 1)
-    return link.select("page_id", "url", "pos", strip_tags(raw).alias("href"), strip_tags("a").alias("text"))
+    return link.select("page_id", "url", "pos", plain_markup(raw).alias("href"), strip_tags("a").alias("text"))
 
 
 def links(pages: DataFrame, path_test: str = "/variable/", param: str = "name") -> DataFrame:
@@ -304,7 +313,7 @@ def links(pages: DataFrame, path_test: str = "/variable/", param: str = "name")
     query = F.regexp_extract("href", rf"[?&]{param}=([^&#]*)", 1)
     name = F.trim(F.coalesce(F.try_url_decode(query), query))
     return (
-        anchors(pages)
+        anchors(pages, path_test)
         .filter(F.col("href").contains(path_test) & F.col("href").contains(f"{param}="))
         .select("page_id", "pos", name.alias("name"), full.alias("link"))
         .filter("name != ''")
@@ -320,7 +329,7 @@ def file_ids(pages: DataFrame) -> DataFrame:
         F.regexp_extract("url", r"/data-dictionary/(F\d+)\b", 1).alias("file_id"),
         F.lit(0).alias("rank"), "page_id", F.lit(-1).alias("pos"),
     )
-    linked = anchors(pages).filter(F.col("href").contains("/data-dictionary/")).withColumn(
+    linked = anchors(pages, "/data-dictionary/").filter(F.col("href").contains("/data-dictionary/")).withColumn(
         "file_id", F.regexp_extract("href", r"/data-dictionary/(F\d+)\b", 1)
     )
     by_param = linked.select(

@@ -44,30 +44,35 @@ def _count_values(df: DataFrame) -> DataFrame:
     )
 
 
-def _narrow(inside: DataFrame) -> DataFrame:
+def _narrow(inside: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keep the slices that hold a wanted rank.
 
-    ``inside``: column, part, before, ranks, value, n. Each part of a column is cut
-    into equal-width slices between its own extremes, so that one far value cannot
-    keep the others together for more than one step.
+    ``inside``: column, part, value, n. ``targets``: column, part, rows before it, ranks
+    wanted in it. Each part is cut into equal-width slices between its own extremes, so
+    one far value cannot keep the others together for more than one step.
     """
     key = ["column", "part"]
     span = inside.groupBy(*key).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = F.col("hi") - F.col("lo")
     slice_no = F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
-    # One row per part: a column and at most two slices per wanted rank, so it may be broadcast.
-    sliced = inside.join(F.broadcast(span), key).withColumn("slice", F.when(width > 0, slice_no).otherwise(0).cast("int"))
-    totals = sliced.groupBy(*key, "before", "ranks", "total", "slice").agg(F.sum("n").alias("m"))
+    # A part per column, then at most two per wanted quantile: small enough to broadcast.
+    sliced = inside.join(F.broadcast(span), key).select(
+        *key, "value", "n", F.when(width > 0, slice_no).otherwise(0).cast("int").alias("slice")
+    )
+    totals = sliced.groupBy(*key, "slice").agg(F.sum("n").alias("m")).join(F.broadcast(targets), key)
     # At most SLICES rows per part reach this window.
     start = F.col("before") + F.sum("m").over(W.partitionBy(*key).orderBy("slice")) - F.col("m")
     wanted = (
         totals.withColumn("start", start)
         .withColumn("hits", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m"))))
         .filter(F.size("hits") > 0)
-        .select(*key, "slice", F.col("start").alias("before"), F.col("hits").alias("ranks"))
     )
-    kept = sliced.drop("before", "ranks", "lo", "hi").join(F.broadcast(wanted), [*key, "slice"])
-    return kept.withColumn("part", F.col("part") * SLICES + F.col("slice")).drop("slice")
+    new_part = F.col("part") * SLICES + F.col("slice")
+    kept = sliced.join(F.broadcast(wanted.select(*key, "slice")), [*key, "slice"], "left_semi")
+    return (
+        kept.select("column", new_part.alias("part"), "value", "n"),
+        wanted.select("column", new_part.alias("part"), F.col("start").alias("before"), F.col("hits").alias("ranks")),
+    )
 
 
 def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> DataFrame:
@@ -79,15 +84,20 @@ def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> Da
     """
     position = [F.lit(p) * (F.col("total") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    # One row per profiled column: bounded by the schema, so it may be broadcast.
-    total = counts.groupBy("column").agg(F.sum("n").alias("total")).withColumn("ranks", ranks)
-    inside = counts.join(F.broadcast(total), "column").withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
-    inside = _narrow(_narrow(inside))
+    zero = F.lit(0).cast("long")
+    # One row per profiled column: bounded by the schema.
+    total = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    inside = counts.select("column", zero.alias("part"), "value", "n")
+    targets = total.select("column", zero.alias("part"), zero.alias("before"), ranks.alias("ranks"))
+    for _ in range(2):
+        inside, targets = _narrow(inside, targets)
+    ordered = inside.join(F.broadcast(targets), ["column", "part"])
     start = F.col("before") + F.sum("n").over(W.partitionBy("column", "part").orderBy("value")) - F.col("n")
     found = (
-        inside.withColumn("start", start)
+        ordered.withColumn("start", start)
         .withColumn("hit", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n"))))
-        .select("column", "total", "value", F.explode("hit").alias("rank"))
+        .select("column", "value", F.explode("hit").alias("rank"))
+        .join(F.broadcast(total), "column")
     )
     by_rank = found.groupBy("column", "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")

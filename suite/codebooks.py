@@ -22,9 +22,11 @@ def _file_ids(spark, sf):
 
 
 def _titles(spark, sf):
-    title = F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)
+    title = F.regexp_extract("_page", "(?is)<title>(.*?)</title>", 1)
     split = codebook.split_title(F.concat(title, F.lit(" (T"), F.col("page_id").cast("string"), F.lit(") ")))
-    return table(spark, sf, "pages", "page_id", F.md5(split["label"]).alias("label"), split["code"].alias("code"), F.md5(codebook.split_title(title)["label"]).alias("whole"))
+    return codebook.decoded_pages(table(spark, sf, "pages")).select(
+        "page_id", F.md5(split["label"]).alias("label"), split["code"].alias("code"), F.md5(codebook.split_title(title)["label"]).alias("whole")
+    )
 
 
 def _overview(spark, sf):
