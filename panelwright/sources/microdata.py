@@ -32,6 +32,8 @@ def read_group(
     spark: SparkSession, paths: list[str], header: list[str], encoding: str, delimiter: str, multi_line: bool = False
 ) -> DataFrame:
     """Files that share encoding, delimiter and header, all columns string, plus the file name."""
+    # Four-byte text has no line end that splits safely: such a file is read by one task.
+    whole = multi_line or READ_AS[encoding] == "UTF-32"
     positions = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
     reader = (
         spark.read.schema(positions)
@@ -41,9 +43,9 @@ def read_group(
         .option("encoding", READ_AS[encoding])
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("multiLine", str(multi_line).lower())
+        .option("multiLine", str(whole).lower())
     )
-    if READ_AS[encoding].startswith("UTF-") and not multi_line:
+    if READ_AS[encoding].startswith("UTF-") and not whole:
         # Two-byte text can be split by line only when told what a line end is.
         reader = reader.option("lineSep", "\n")
     raw = reader.csv(paths)

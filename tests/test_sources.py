@@ -54,6 +54,15 @@ def test_read_micro_csv(spark, drops, rows):
     assert len(got) == 6
 
 
+def test_wide_encodings(spark, tmp_path, rows):
+    write(tmp_path, "SDEMT_a_2024_trim1.csv", "ent,name\n1,niño\n2,x\n", "utf-32")
+    write(tmp_path, "SDEMT_b_2024_trim2.csv", "ent,name\n" + "".join(f"{i},ñ{i}\n" for i in range(40)), "utf-16-le")
+    write(tmp_path, "SDEMT_c_2024_trim3.csv", b"\xfe\xff" + "ent;name\r\n7;ñ\r\n".encode("utf-16-be"), None)
+    table = microdata.read_micro_csv(spark, files.manifest(spark, str(tmp_path)))
+    assert table.count() == 43
+    assert rows(table.filter("trimestre <> 2"), "trimestre", "ent", "name") == [(1, "1", "niño"), (1, "2", "x"), (3, "7", "ñ")]
+
+
 def test_case_of_columns(spark, drops, tmp_path):
     write(tmp_path, "SDEMT_1.csv", "CD_A,x\n1,2\n", "utf-8")
     write(tmp_path, "SDEMT_2.csv", "cd_a,x\n3,4\n", "utf-8")
