@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +40,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def arrow_map(
-    df: DataFrame, columns: Sequence, schema: str, make: Callable[[], Callable[..., list]]
-) -> DataFrame:
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package wherever the driver was started.
+
+    A cluster gets it as usual, with --py-files or an installed wheel.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in [*paths, root] if p)
+
+
+def arrow_map(df: DataFrame, columns: Sequence, schema: str, make: Callable[[], Callable[..., list]], rows: int = 256) -> DataFrame:
     """Send some columns to Python in Arrow batches and keep what comes back.
 
-    ``make()`` runs once a task and gives ``step(*columns)``: Python lists (binary columns
-    as bytes) in, one list for each field of ``schema`` out.
+    ``make()`` runs once a task and gives ``step(*columns)``: Arrow columns of at most
+    ``rows`` rows in, one list, array or Arrow column for each field of ``schema`` out.
     """
+    importable(df.sparkSession)
     chosen = df.select(*columns)
     fields = chosen.sparkSession.createDataFrame([], schema).schema
 
@@ -55,9 +66,10 @@ def arrow_map(
 
         step, out = make(), to_arrow_schema(fields)
         for batch in batches:
-            if batch.num_rows:
-                got = step(*(c.to_pylist() for c in batch.columns))
-                yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(got, out)], schema=out)
+            for at in range(0, batch.num_rows, rows):
+                got = step(*batch.slice(at, rows).columns)
+                columns = [v if isinstance(v, pa.Array) else pa.array(v, t.type) for v, t in zip(got, out)]
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return chosen.mapInArrow(run, fields)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from panelwright.llm import simhash
+from panelwright.llm import bpe, simhash, token_counts
 
 QUERIES = {
     "op2_simhash_near_dedup": (simhash.query, None),
+    "op6_token_counts": (token_counts.query, None),
+    "op8_bpe_round_trip": (bpe.query, None),
 }

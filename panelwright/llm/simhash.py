@@ -35,7 +35,7 @@ def _signer(words: int, seed: int):
             ones = sums.view(np.uint8).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
             return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
-        return lambda ids, texts: [ids, [sign(t) for t in texts]]
+        return lambda ids, texts: [ids, [sign(t) for t in texts.to_pylist()]]
 
     return make
 
