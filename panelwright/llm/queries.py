@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, simhash, token_counts
+from panelwright.llm import bpe, simhash, token_counts, topk, toxicity
 
 QUERIES = {
     "op2_simhash_near_dedup": (simhash.query, None),
+    "op4_toxicity": (toxicity.query, None),
+    "op5_exact_top_k": (topk.query, topk.SQL),
     "op6_token_counts": (token_counts.query, None),
     "op8_bpe_round_trip": (bpe.query, None),
 }
