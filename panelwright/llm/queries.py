@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, simhash, token_counts, topk, toxicity
+from panelwright.llm import bpe, fingerprint, simhash, token_counts, topk, toxicity
 
 QUERIES = {
     "op2_simhash_near_dedup": (simhash.query, None),
@@ -10,4 +10,5 @@ QUERIES = {
     "op5_exact_top_k": (topk.query, topk.SQL),
     "op6_token_counts": (token_counts.query, None),
     "op8_bpe_round_trip": (bpe.query, None),
+    "op9_improbable_features": (fingerprint.query, None),
 }
