@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, fingerprint, simhash, token_counts, topk, toxicity
+from panelwright.llm import bpe, fingerprint, html_text, simhash, token_counts, topk, toxicity
 
 QUERIES = {
     "op2_simhash_near_dedup": (simhash.query, None),
     "op4_toxicity": (toxicity.query, None),
     "op5_exact_top_k": (topk.query, topk.SQL),
     "op6_token_counts": (token_counts.query, None),
+    "op7_html_wrapper_text": (html_text.query, None),
     "op8_bpe_round_trip": (bpe.query, None),
     "op9_improbable_features": (fingerprint.query, None),
 }
