@@ -54,7 +54,8 @@ def arrow_map(df: DataFrame, columns: Sequence, schema: str, make: Callable[[],
     """Send some columns to Python in Arrow batches and keep what comes back.
 
     ``make()`` runs once a task and gives ``step(*columns)``: Arrow columns of at most
-    ``rows`` rows in, one list, array or Arrow column for each field of ``schema`` out.
+    ``rows`` rows in, one list, array or Arrow column for each field of ``schema`` out. If
+    ``step`` has an attribute ``end``, that is called for the last rows of the task.
     """
     importable(df.sparkSession)
     chosen = df.select(*columns)
@@ -65,11 +66,16 @@ def arrow_map(df: DataFrame, columns: Sequence, schema: str, make: Callable[[],
         from pyspark.sql.pandas.types import to_arrow_schema
 
         step, out = make(), to_arrow_schema(fields)
+
+        def packed(got: Sequence) -> pa.RecordBatch:
+            columns = [v if isinstance(v, pa.Array) else pa.array(v, t.type) for v, t in zip(got, out)]
+            return pa.RecordBatch.from_arrays(columns, schema=out)
+
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                got = step(*batch.slice(at, rows).columns)
-                columns = [v if isinstance(v, pa.Array) else pa.array(v, t.type) for v, t in zip(got, out)]
-                yield pa.RecordBatch.from_arrays(columns, schema=out)
+                yield packed(step(*batch.slice(at, rows).columns))
+        if hasattr(step, "end"):
+            yield packed(step.end())
 
     return chosen.mapInArrow(run, fields)
 

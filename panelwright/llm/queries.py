@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, fingerprint, html_text, simhash, token_counts, topk, toxicity
+from panelwright.llm import bpe, chat, fingerprint, html_text, simhash, token_counts, topk, toxicity
 
 QUERIES = {
     "op2_simhash_near_dedup": (simhash.query, None),
+    "op3_chat_windows": (chat.query, None),
     "op4_toxicity": (toxicity.query, None),
     "op5_exact_top_k": (topk.query, topk.SQL),
     "op6_token_counts": (token_counts.query, None),
