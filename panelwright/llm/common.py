@@ -80,6 +80,28 @@ def arrow_map(df: DataFrame, columns: Sequence, schema: str, make: Callable[[],
     return chosen.mapInArrow(run, fields)
 
 
+def arrow_column(df: DataFrame, column, kind: str, make: Callable[[], Callable], rows: int = 256):
+    """A column made in Python from one Arrow column; the other columns of ``df`` stay on the JVM side.
+
+    ``make()`` runs once a task and gives ``step(values)``, a list or array for at most
+    ``rows`` values.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    importable(df.sparkSession)
+    out = to_arrow_type(df.sparkSession.createDataFrame([], f"v {kind}").schema[0].dataType)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        step = make()
+        for batch in batches:
+            parts = [pa.array(step(batch.slice(at, rows)), out) for at in range(0, len(batch), rows)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], out)
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, kind)(column)
+
+
 def whole_text(column: str = "text"):
     """A text as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary").alias("_text")

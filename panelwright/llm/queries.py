@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, chat, fingerprint, html_text, simhash, token_counts, topk, toxicity
+from panelwright.llm import bpe, chat, fingerprint, html_text, licenses, mixing, simhash, token_counts, topk, toxicity
 
 QUERIES = {
+    "op1_mixing_rates": (mixing.query, None),
     "op2_simhash_near_dedup": (simhash.query, None),
     "op3_chat_windows": (chat.query, None),
     "op4_toxicity": (toxicity.query, None),
@@ -13,4 +14,5 @@ QUERIES = {
     "op7_html_wrapper_text": (html_text.query, None),
     "op8_bpe_round_trip": (bpe.query, None),
     "op9_improbable_features": (fingerprint.query, None),
+    "op10_license_digests": (licenses.query, licenses.SQL),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import arrow_map, importable, whole_text
+from panelwright.llm.common import arrow_column, importable, whole_text
 
 #: Words, and the ends of sentences. A sentence ends at a stop, an exclamation or question mark or a line end.
 PARTS = r"\w+|[.!?\n]+"
@@ -119,13 +119,13 @@ def fit(rows: DataFrame, id_col: str = "doc_id", epochs: int = EPOCHS):
     return weights, float(bias.iloc[0]) if len(bias) else -6.0
 
 
-def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:
-    """(id, score, offending): the noisy-or of all sentences of a whole text, and the sentences that offend.
+def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5, column: str = "toxicity") -> DataFrame:
+    """``docs`` with a struct (score, offending): the noisy-or of all sentences of a whole text, and those that offend.
 
     ``offending`` holds (start, length, score) in code points for each sentence whose own
     score is ``at_least`` or more. A null, empty or wordless text has no sentence and
-    scores 0. Every row gives a row, repeated rows and null ids included; other columns are
-    left out.
+    scores 0. Rows and other columns stay as they are; a column of the new one's name is
+    replaced.
     """
     weights, bias = model
     sent = docs.sparkSession.sparkContext.broadcast(weights)
@@ -173,15 +173,16 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
                     hits.append({"start": a, "length": b - a, "score": float(s[n])})
             return p, hits
 
-        def step(ids, texts):
-            got = [one(t.decode()) for t in texts.to_pylist()]
-            return [ids, [p for p, _ in got], [h for _, h in got]]
+        return lambda texts: [{"score": p, "offending": hits} for p, hits in (one(t.decode()) for t in texts.to_pylist())]
 
-        return step
+    kind = "struct<score:double,offending:array<struct<start:int,length:int,score:double>>>"
+    return docs.withColumn(column, arrow_column(docs, whole_text(text_col), kind, make))
 
-    kind = dict(docs.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, score double, offending array<struct<start:int,length:int,score:double>>"
-    return arrow_map(docs, [F.col(id_col), whole_text(text_col)], schema, make)
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score, by a model fitted on their labels, is below ``at_least``."""
+    scored = score(docs, fit(training_rows(docs, labels, id_col, text_col), id_col), text_col, column="_toxicity")
+    return scored.filter(F.col("_toxicity.score") < at_least).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -189,7 +190,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     model = fit(training_rows(docs, table(spark, sf_dir, "labels")))
-    scored = score(docs, model)
+    scored = score(docs, model).select("doc_id", "toxicity.*")
     return scored.select(
         "doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("offending").alias("n_offending"), "offending",
