@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import arrow_column, importable, settled, whole_text
+from panelwright.llm.common import arrow_column, importable, settled, unused, whole_text
 
 #: Bounds of the labelled rows the classifier is fitted on: documents per domain, and the bytes of each.
 SAMPLE, SAMPLE_BYTES = 1000, 16_384
@@ -179,8 +179,11 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_co
     return kept.withColumn("rate", rate(steps, least))
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """``docs`` with a struct ``mix`` (tokens, posterior) and its ``rate``; both columns are replaced where they exist.
+def mix(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0,
+    rate_col: str = "rate",
+) -> DataFrame:
+    """``docs`` with its rate; a column of that name is replaced.
 
     ``labelled`` (id, domain) fits the classifier, ``targets`` give each domain's share of
     the tokens. Every row has a rate, repeated rows the same one; null ids are fitted like
@@ -188,14 +191,20 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     result rather than joined, so they are not shuffled.
     """
     model, _, steps = _fitted(docs, labelled, targets, id_col, text_col, least)
-    return posteriors(docs, model, text_col).withColumn("rate", rate(steps, least))
+    column = unused(docs, "mix")
+    return posteriors(docs, model, text_col, column).withColumn(rate_col, rate(steps, least, f"{column}.posterior")).drop(column)
 
 
-def repeated(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Each row as often as its rate says: the whole part, and once more if a hash of the id falls below the rest."""
+def repeated(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as its rate says, the whole part, and once more if a hash of the id falls below the rest."""
+    column = unused(docs, "rate")
+    mixed = mix(docs, labelled, targets, id_col, text_col, least, column)
     uniform = F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    copies = (F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_copy")
+    copies = (F.floor(column) + (uniform < F.col(column) - F.floor(column)).cast("long")).cast("int")
+    copy = unused(mixed, "copy")
+    return mixed.withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies))).drop(copy, column)
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:

@@ -131,13 +131,16 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its component; of rows that repeat that id, all stay if they repeat wholly.
+    """One row of ``docs`` for each component: that of the least id.
 
-    Rows with a null id stay, as nothing tells them from others.
+    Where several rows have that id, one of them stays. Rows with a null id stay, as
+    nothing names them. Only ids are shuffled against the rows, and rows of repeated ids.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    losers = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(losers, id_col, "left_anti").select(*docs.columns)
+    found = settled(near_duplicates(docs, id_col, text_col, **options))
+    losers = found.filter(F.col(id_col) != F.col("component_id")).select(id_col)
+    again = found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().filter("count > 1").select(id_col)
+    single = docs.join(losers.union(again).distinct(), id_col, "left_anti").select(*docs.columns)
+    return single.unionByName(docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

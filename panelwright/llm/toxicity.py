@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import arrow_column, importable, whole_text
+from panelwright.llm.common import arrow_column, importable, unused, whole_text
 
 #: Words, and the ends of sentences. A sentence ends at a stop, an exclamation or question mark or a line end.
 PARTS = r"\w+|[.!?\n]+"
@@ -181,8 +181,9 @@ def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5,
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score, by a model fitted on their labels, is below ``at_least``."""
-    scored = score(docs, fit(training_rows(docs, labels, id_col, text_col), id_col), text_col, column="_toxicity")
-    return scored.filter(F.col("_toxicity.score") < at_least).select(*docs.columns)
+    column = unused(docs, "toxicity")
+    scored = score(docs, fit(training_rows(docs, labels, id_col, text_col), id_col), text_col, column=column)
+    return scored.filter(F.col(f"{column}.score") < at_least).drop(column)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
