@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Upper case, and everything of ASCII and common typography that counts as a blank (fixed values).
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLANK = "\t\r\n\x0b\x0c!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\u2018\u2019\u201c\u201d\u2013\u2014\u2022\u00ab\u00bb\u00b7\u00a0'"
-#: A line that states a copyright, behind any comment marks.
-COPYRIGHT = "(^|\\n)[ \\t#*/;!<>-]*(?:[cC][oO][pP][yY][rR][iI][gG][hH][tT]|\\([cC]\\)|\u00a9|[aA][lL][lL] [rR][iI][gG][hH][tT][sS] [rR][eE][sS][eE][rR][vV][eE][dD])[^\\n]*"
+from panelwright.llm.common import settled
+
+#: Runs that count as one blank (fixed values): all of ASCII but letters, digits and line ends, and common typography.
+BLANKS = "[^a-z0-9\\n\\x{80}-\\x{10FFFF}‘’“”–—•«»· ]+|[‘’“”–—•«»· ]+"
+#: What a line that states a copyright says, in lower case, and the line, behind any comment marks.
+SAYS = ("copyright", "(c)", "©", "all rights reserved")
+COPYRIGHT = "(^|\\n)[ \\t#*/;!<>-]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*"
+#: A spelling changes the length of a text by less than this factor, and never the first letters of a word.
+FACTOR, FIRST = 1.5, 2
 #: Equivalent spellings (fixed values), as they stand after blanks have replaced punctuation.
 SPELLINGS = (
     ("licence", "license"), ("licencing", "licensing"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"),
@@ -41,25 +45,40 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """A text as licences are compared: without copyright lines, case, punctuation and spelling variants, single blanks."""
-    plain = F.translate(F.regexp_replace(text, COPYRIGHT, "$1"), UPPER + BLANK, LOWER + " " * len(BLANK))
-    plain = F.concat(F.lit(" "), F.regexp_replace(plain, " +", " "), F.lit(" "))
+def plain(text: Column) -> Column:
+    """Lower case, without copyright lines, runs of punctuation and blanks as one blank; line ends stay."""
+    low = F.lower(text)
+    says = low.contains(SAYS[0])
+    for word in SAYS[1:]:
+        says = says | low.contains(word)
+    return F.regexp_replace(F.when(says, F.regexp_replace(low, COPYRIGHT, "$1")).otherwise(low), BLANKS, " ")
+
+
+def spelled(one_line: Column) -> Column:
+    """A plain text of one line in one spelling, with single blanks."""
+    form = F.concat(F.lit(" "), one_line, F.lit(" "))
     for given, wanted in SPELLINGS:
-        plain = F.replace(plain, F.lit(given), F.lit(wanted))
-    return F.trim(F.regexp_replace(plain, " +", " "))
+        form = F.replace(form, F.lit(given), F.lit(wanted))
+    return F.trim(F.regexp_replace(form, " +", " "))
+
+
+def joined(plain_text: Column) -> Column:
+    """The lines of a plain text as one."""
+    return F.trim(F.regexp_replace(plain_text, "[ \n]*\n[ \n]*", " "))
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; that of an empty text for null, which no known licence has."""
-    return F.sha2(F.coalesce(canonical(text), F.lit("")), 256)
+def canonical(text: Column) -> Column:
+    """A text as licences are compared: without copyright lines, case, punctuation and spelling variants."""
+    return spelled(joined(plain(text)))
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license) of the given texts; of equal ones the first by name."""
+    """(digest, license, size, start) of the given texts: canonical length and first letters; of equal ones the first by name."""
     rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("_t")) for name, text in known])
-    listed = spark.range(1).select(F.inline(rows))
-    return listed.groupBy(digest(F.col("_t")).alias("digest")).agg(F.min("license").alias("license")).filter(F.col("digest") != F.sha2(F.lit(""), 256))
+    listed = spark.range(1).select(F.inline(rows)).select("license", canonical(F.col("_t")).alias("_form")).filter("_form <> ''")
+    return listed.groupBy(F.sha2("_form", 256).alias("digest")).agg(
+        F.min("license").alias("license"), F.max(F.length("_form")).alias("size"), F.max(F.left("_form", F.lit(FIRST))).alias("start")
+    )
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,17 +88,34 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     texts are compared whole, with no window or similarity. ``license`` is null and
     ``notices`` empty where nothing matches, as for null and empty texts. Every row gives a
     row; rows that share an id share their notices, and null ids have none. Other columns
-    are left out. Lines are reduced to their digests before they are joined, and only
-    matches are gathered; a list of known licences above Spark's size limit is not
-    broadcast.
+    are left out.
+
+    One pass brings texts and lines into plain form; only those that begin and are as long
+    as some known text could be before respelling, as no other can match, are spelled and
+    digested.
+    What is joined is a digest a candidate; a list of known licences above Spark's size
+    limit is not broadcast.
     """
-    whole = docs.select(F.col(id_col), digest(F.col(text_col)).alias("digest"))
-    lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode(F.split(text_col, "\n")).alias("_line")).select("_id", digest(F.col("_line")).alias("digest"))
-    found = lines.join(known, "digest")
-    notices = found.groupBy("_id").agg(F.sort_array(F.collect_set("license")).alias("notices"), F.count(F.lit(1)).alias("n_notices"))
-    named = whole.join(known, "digest", "left")
-    joined = named.join(notices, F.col(id_col) == F.col("_id"), "left")
-    return joined.select(
+    # Pairs of letters and digits at most, whatever the number of known texts.
+    known_by = {r["start"]: r for r in known.groupBy("start").agg(F.min("size").alias("lo"), F.max("size").alias("hi")).collect()}
+    lo, hi = min((r["lo"] for r in known_by.values()), default=1), max((r["hi"] for r in known_by.values()), default=0)
+
+    def fits(form: Column) -> Column:
+        return F.left(form, F.lit(FIRST)).isin(sorted(known_by)) & F.length(form).between(lo / FACTOR, hi * FACTOR)
+
+    forms = docs.select(F.col(id_col), plain(F.coalesce(text_col, F.lit(""))).alias("_plain"))
+    forms = forms.select(id_col, joined(F.col("_plain")).alias("_whole"), F.filter(F.transform(F.split("_plain", "\n"), F.trim), fits).alias("_lines"))
+    # Digests of candidates only: small, and read by both lookups.
+    found = settled(forms.select(
+        id_col, F.when(fits(F.col("_whole")), F.sha2(spelled(F.col("_whole")), 256)).alias("digest"),
+        F.transform("_lines", lambda line: F.sha2(spelled(line), 256)).alias("_lines"),
+    ))
+    listed = known.select("digest", "license")
+    lines = found.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode("_lines").alias("digest"))
+    named = lines.join(listed, "digest")
+    notices = named.groupBy("_id").agg(F.sort_array(F.collect_set("license")).alias("notices"), F.count(F.lit(1)).alias("n_notices"))
+    whole = found.select(id_col, "digest").join(listed, "digest", "left")
+    return whole.join(notices, F.col(id_col) == F.col("_id"), "left").select(
         F.col(id_col), "license", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices")
     )
 
@@ -95,25 +131,29 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _sql_digest(text: str) -> str:
-    plain = f"translate(regexp_replace({text}, {_quoted(COPYRIGHT)}, '\\1', 'g'), {_quoted(UPPER + BLANK)}, {_quoted(LOWER + ' ' * len(BLANK))})"
-    plain = f"' ' || regexp_replace({plain}, ' +', ' ', 'g') || ' '"
+def _sql_plain(text: str) -> str:
+    return f"regexp_replace(regexp_replace(lower({text}), {_quoted(COPYRIGHT)}, '\\1', 'g'), {_quoted(BLANKS)}, ' ', 'g')"
+
+
+def _sql_digest(plain_text: str) -> str:
+    form = f"' ' || trim(regexp_replace({plain_text}, '[ \\n]*\\n[ \\n]*', ' ', 'g'), ' ') || ' '"
     for given, wanted in SPELLINGS:
-        plain = f"replace({plain}, {_quoted(given)}, {_quoted(wanted)})"
-    plain = f"trim(regexp_replace({plain}, ' +', ' ', 'g'), ' ')"
-    return f"sha256(nullif({plain}, ''))"
+        form = f"replace({form}, {_quoted(given)}, {_quoted(wanted)})"
+    return f"sha256(nullif(trim(regexp_replace({form}, ' +', ' ', 'g'), ' '), ''))"
 
 
 SQL = f"""
 WITH known AS (
     SELECT {_sql_digest("t")} AS digest, min(name) AS license
-    FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}) AS k(name, t) GROUP BY 1
+    FROM (SELECT name, {_sql_plain("t")} AS t FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}) AS k(name, t)) GROUP BY 1
+), plain AS (
+    SELECT doc_id, {_sql_plain("text")} AS t FROM documents
 ), lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+    SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM plain
 ), notices AS (
     SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n_notices
     FROM (SELECT doc_id, {_sql_digest("line")} AS digest FROM lines) JOIN known USING (digest) GROUP BY doc_id
 )
 SELECT d.doc_id, k.license, coalesce(n.notices, '') AS notices, coalesce(n.n_notices, 0) AS n_notices
-FROM (SELECT doc_id, {_sql_digest("text")} AS digest FROM documents) d LEFT JOIN known k USING (digest) LEFT JOIN notices n USING (doc_id)
+FROM (SELECT doc_id, {_sql_digest("t")} AS digest FROM plain) d LEFT JOIN known k USING (digest) LEFT JOIN notices n USING (doc_id)
 """

@@ -198,3 +198,9 @@ def test_pipeline_stages(spark):
     result = corpus_pipeline.run(spark, SF)
     assert result.count() == docs.count() > 0
     assert sorted(r.ids_sha256 for r in result.collect()) == sorted(r.ids_sha256 for r in docs.collect())
+
+
+def test_spellings_keep_what_candidates_are_chosen_by():
+    for given, wanted in licenses.SPELLINGS:
+        assert given[: licenses.FIRST] == wanted[: licenses.FIRST]
+        assert len(wanted) < licenses.FACTOR * len(given) and len(given) < licenses.FACTOR * len(wanted)
