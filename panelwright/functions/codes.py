@@ -67,8 +67,8 @@ def table_code(c: Column | str) -> Column:
 def plain_code(c: Column | str) -> Column:
     """The form two spellings of one code share: no leading zeros, or upper case."""
     text = strip(_col(c).cast("string"))
-    number = text.try_cast("decimal(38,0)").cast("string")
-    return F.when(text.rlike(INTEGER), F.coalesce(number, text)).otherwise(F.upper(text))
+    number = F.regexp_replace(F.regexp_replace(text, r"^(-?)0+(?=\d)", "$1"), "^-0$", "0")
+    return F.when(text.rlike(INTEGER), number).otherwise(F.upper(text))
 
 
 def code_variants(c: Column | str) -> Column:
@@ -80,6 +80,10 @@ def code_variants(c: Column | str) -> Column:
     return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
+# Fixed pattern: what a file name may not hold.
+NOT_IN_NAMES = r"[^A-Za-z0-9_\-.]+"
+
+
 def safe_name(c: Column | str) -> Column:
     """File-safe name: blanks and other runs become ``_``."""
-    return F.regexp_replace(F.replace(strip(c), F.lit(" "), F.lit("_")), r"[^A-Za-z0-9_\-.]+", "_")
+    return F.regexp_replace(F.replace(strip(c), F.lit(" "), F.lit("_")), NOT_IN_NAMES, "_")

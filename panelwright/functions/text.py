@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -38,31 +39,41 @@ def norm_header(c: Column | str) -> Column:
     return F.coalesce(F.lower(squeeze(F.replace(_col(c), F.lit(BOM), F.lit("")))), F.lit(""))
 
 
-def _accent_table() -> tuple[str, str]:
-    # Rule: a Latin letter whose compatibility decomposition is one ASCII
-    # character plus combining marks maps to that character.
-    src, dst = [], []
-    for point in (*range(0xA1, 0x250), *range(0x1E00, 0x1F00)):
+def _accent_tables() -> tuple[str, str, dict[str, str]]:
+    # Rule: a character stands for the ASCII part of its compatibility decomposition.
+    src, dst, longer = [], [], {}
+    for point in range(0x80, sys.maxunicode + 1):
         ascii_part = unicodedata.normalize("NFKD", chr(point)).encode("ascii", "ignore").decode()
         if len(ascii_part) == 1:
             src.append(chr(point))
             dst.append(ascii_part)
-    return "".join(src), "".join(dst)
+        elif ascii_part:
+            longer[chr(point)] = ascii_part
+    return "".join(src), "".join(dst), longer
 
 
-_ACCENTED, _PLAIN = _accent_table()
+_ACCENTED, _PLAIN, _LONGER = _accent_tables()
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Latin letters lose their accents; every other non-ASCII character goes."""
+    """Accents go, ligatures and other compound characters are taken apart; every other non-ASCII character goes."""
     c = _col(c)
-    plain = F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"[^\x00-\x7F]", "")
+    single = F.translate(c, _ACCENTED, _PLAIN)
+    # Characters that stand for several are rare: only texts with one are taken apart.
+    table = F.create_map(*[F.lit(x) for pair in _LONGER.items() for x in pair])
+    apart = F.array_join(F.transform(F.split(single, "(?!^)"), lambda ch: F.when(ch <= "\x7f", ch).otherwise(F.coalesce(F.try_element_at(table, ch), F.lit("")))), "")
+    letters = "[" + "".join(_LONGER) + "]"
+    plain = F.when(single.rlike(letters), apart).otherwise(F.regexp_replace(single, r"[^\x00-\x7F]", ""))
     return F.when(F.length(c) == F.octet_length(c), c).otherwise(plain)
 
 
+# Fixed pattern: what separates the parts of a slug.
+NOT_IN_SLUGS = "[^a-zA-Z0-9]+"
+
+
 def slugify(c: Column | str) -> Column:
     """ASCII, lower case, runs of other characters as one ``_``; null becomes ''."""
-    body = F.regexp_replace(strip_accents(c), "[^a-zA-Z0-9]+", "_")
+    body = F.regexp_replace(strip_accents(c), NOT_IN_SLUGS, "_")
     return F.coalesce(F.lower(F.trim(body, F.lit("_"))), F.lit(""))
 
 

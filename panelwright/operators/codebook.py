@@ -7,6 +7,7 @@ work spreads over whatever partitions the page table has.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,17 +15,24 @@ from pyspark.sql import functions as F
 from panelwright.functions.text import squeeze
 from panelwright.operators.joins import keep_first
 
-# Named references decoded besides the numeric ones.
-ENTITIES = (
-    ("nbsp", " "), ("quot", '"'), ("apos", "'"),
-    ("aacute", "á"), ("eacute", "é"), ("iacute", "í"), ("oacute", "ó"), ("uacute", "ú"),
-    ("Aacute", "Á"), ("Eacute", "É"), ("Iacute", "Í"), ("Oacute", "Ó"), ("Uacute", "Ú"),
-    ("ntilde", "ñ"), ("Ntilde", "Ñ"), ("uuml", "ü"), ("Uuml", "Ü"), ("iquest", "¿"), ("iexcl", "¡"),
-    ("ordm", "º"), ("ordf", "ª"), ("laquo", "«"), ("raquo", "»"), ("middot", "·"), ("copy", "©"),
-    ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("deg", "°"),
-)
 # References that would look like markup, decoded after tags are gone.
 MARKUP_ENTITIES = (("lt", "<"), ("gt", ">"), ("amp", "&"))
+
+
+def _references() -> dict[str, str]:
+    # Rule: the names that HTML defines; markup characters stay in named form for now.
+    found = {}
+    for name, text in html5.items():
+        if name.endswith(";"):
+            for reference, char in reversed(MARKUP_ENTITIES):
+                text = text.replace(char, f"&{reference};")
+            found[name[:-1]] = text
+    return found
+
+
+ENTITIES = _references()
+# The commonest names are looked up before all others.
+COMMON = ("amp", "lt", "gt", "nbsp", "quot", "aacute", "eacute", "iacute", "oacute", "uacute", "ntilde")
 # Attributes of the overview table: output column, label shown, accepted spelling.
 OVERVIEW_ATTRIBUTES = (
     ("valido", "Válido", r"(?iu)^válido$"),
@@ -68,19 +76,22 @@ def clean_html(c: Column | str) -> Column:
 
 def _decoded(page: Column) -> Column:
     """Named and numeric references as characters; those of < > & stay, in named form."""
-    table = F.create_map(*[F.lit(text) for pair in (*ENTITIES, *((n, f"&{n};") for n, _ in MARKUP_ENTITIES)) for text in pair])
-    # At most five digits and no surrogates, so a number always has a character.
-    reference = r"^(#(?!0*5[5-7]\d{3};)\d{1,5}|#[xX](?!0*[dD][89a-fA-F])[0-9a-fA-F]{1,5}|[a-zA-Z]+);"
+    def table(names) -> Column:
+        return F.create_map(*[F.lit(text) for name in names for text in (name, ENTITIES[name])])
+
+    reference = r"^(#0*\d{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
     def split_reference(piece: Column) -> Column:
         return F.struct(F.regexp_extract(piece, reference, 1).alias("ref"), piece.alias("text"))
 
     def character(ref: Column) -> Column:
-        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 5), 16, 16)).otherwise(F.conv(F.substring(ref, 2, 5), 10, 16))
-        markup = F.when(number == "3C", "&lt;").when(number == "3E", "&gt;").when(number == "26", "&amp;")
-        return F.when(
-            ref.startswith("#"), F.coalesce(markup, F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32"))
-        ).otherwise(F.try_element_at(table, ref))
+        number = F.when(ref.rlike("^#[xX]"), F.conv(F.regexp_replace(ref, "^#[xX]", ""), 16, 10)).otherwise(F.conv(F.substring(ref, 2, 40), 10, 10)).cast("long")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        markup = F.when(number == 0x3C, "&lt;").when(number == 0x3E, "&gt;").when(number == 0x26, "&amp;")
+        text = F.coalesce(markup, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        return F.when(ref.startswith("#"), F.when(valid, text)).otherwise(
+            F.coalesce(F.try_element_at(table(COMMON), ref), F.try_element_at(table(ENTITIES), ref))
+        )
 
     def join_reference(piece: Column) -> Column:
         ref, text = piece["ref"], piece["text"]
@@ -92,9 +103,31 @@ def _decoded(page: Column) -> Column:
     return F.when(page.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(page)
 
 
+def _flat_tables(page: Column) -> Column:
+    """The page with tables inside tables as plain text of the cell that holds them."""
+    inner = r"(?is)</?(?:table|thead|tbody|tfoot|tr|td|th)\b[^>]*>"
+    pieces = F.split(page, r"(?i)(?=</?table\b)")
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        before = acc["depth"]
+        depth = F.when(opens, before + 1).when(closes, F.greatest(before - 1, F.lit(0))).otherwise(before)
+        text = (
+            F.when((depth >= 2), F.regexp_replace(piece, inner, " "))
+            .when(closes & (before >= 2), F.regexp_replace(piece, r"(?i)^</table\b[^>]*>", " "))
+            .otherwise(piece)
+        )
+        return F.struct(depth.alias("depth"), F.concat(acc["page"], text).alias("page"))
+
+    flat = F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("page")), step, lambda acc: acc["page"])
+    nested = page.rlike(r"(?is)<table\b(?>[^<]|<(?!/?table\b))*+<table\b")
+    return F.when(nested, flat).otherwise(page)
+
+
 def decoded_pages(pages: DataFrame) -> DataFrame:
-    """Adds ``_page``: cleaned, with every reference but those of < > & decoded."""
-    return pages.withColumn("_page", clean_html("html")).withColumn("_page", _decoded(F.col("_page")))
+    """Adds ``_page``: cleaned, with every reference but those of < > & decoded, and no table inside a table."""
+    cleaned = pages.withColumn("_page", clean_html("html")).withColumn("_page", _decoded(F.col("_page")))
+    return cleaned.withColumn("_page", _flat_tables(F.col("_page")))
 
 
 def plain_markup(c: Column) -> Column:
@@ -237,10 +270,14 @@ def categories(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", _category_structs(F.col("_rows")).alias("categorias"))
 
 
+# Fixed pattern: a title that ends in a code.
+TITLE_CODE = r"^(.*)\(([^)]+)\)\s*$"
+
+
 def split_title(c: Column | str) -> Column:
     """``Label (CODE)`` of a decoded page -> struct(label, code); without a code all is label."""
     text = strip_tags(_col(c))
-    pattern = r"^(.*)\(([^)]+)\)\s*$"
+    pattern = TITLE_CODE
     return F.struct(
         F.trim(F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1)).otherwise(text)).alias("label"),
         F.regexp_extract(text, pattern, 2).alias("code"),
@@ -272,32 +309,46 @@ def section(pages: DataFrame, names: Sequence[str], out: str = "section") -> Dat
     return parsed_pages(pages).select("page_id", _section_value(names).alias(out))
 
 
+def _folded(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` steps."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done).otherwise(F.concat(done, F.array(part))),
+    )
+    # A path that ends in a step ends in its folder.
+    end = F.when(last.isin(".", ".."), F.when(F.size(kept) > 0, "/").otherwise("")).otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
+
+
 def absolute_url(base: Column, href: Column) -> Column:
-    """A link seen from its page; parent steps are folded."""
+    """A link seen from its page; ``.`` and ``..`` steps of the path are folded, queries and fragments kept as they are."""
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
     origin = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", 0)
-    path = F.regexp_replace(base, r"[?#].*$", "")
-    folder = F.when(path == origin, F.concat(origin, F.lit("/"))).otherwise(F.regexp_replace(path, "[^/]*$", ""))
-    joined = (
+    page = F.regexp_replace(base, "#.*$", "")
+    base_path = F.regexp_replace(F.substring(page, F.length(origin) + 1, F.length(page)), r"\?.*$", "")
+    folder = F.regexp_replace(base_path, "[^/]*$", "")
+    path, rest = F.regexp_extract(href, "^[^?#]*", 0), F.regexp_extract(href, "(?s)[?#].*$", 0)
+    from_root = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("?"), F.concat(path, href))
-        .when(href == "", base)
-        .otherwise(F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
+        .when(href == "", page)
+        .when(href.startswith("#"), F.concat(page, href))
+        .when(href.startswith("?"), F.concat(origin, base_path, href))
+        .otherwise(F.concat(origin, F.when(from_root.rlike(r"/\.\.?(?:/|$)"), _folded(from_root)).otherwise(from_root), rest))
     )
-    folded = joined
-    for _ in range(4):
-        folded = F.regexp_replace(folded, r"^(\w[\w+.-]*://[^/]+(?:/[^/]+)*?)/[^/]+/\.\./", "$1/")
-    return F.when(href.contains("../"), folded).otherwise(joined)
 
 
 def anchors(pages: DataFrame, containing: str = "") -> DataFrame:
     """(page_id, url, pos, href, text): every link of every page, in page order.
 
+    A link that is not closed ends where the next one begins, or with the page.
+
     ``containing`` drops anchors without that text before they are taken apart.
     """
-    found = F.regexp_extract_all("_page", F.lit(r"(?is)<a\b[^>]*?href\s*=.*?</a\s*>"), 0)
+    found = F.regexp_extract_all("_page", F.lit(r"(?is)<a\b[^>]*?href\s*=.*?(?=</a\s*>|<a\b|\z)"), 0)
     link = decoded_pages(pages).select("page_id", "url", F.posexplode(found).alias("pos", "a"))
     link = link.filter(F.col("a").contains(containing)) if containing else link
     raw = F.regexp_extract("a", r"(?is)^<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]*)", 1)

@@ -24,9 +24,9 @@ def panel_slice(
     return out.filter(F.col("estado") == nation if national else F.col("estado") != nation)
 
 
-def cutoff(df: DataFrame, date: str = "fecha", last: str = "2024-12-31") -> DataFrame:
-    """Rows up to and including a day."""
-    return df.filter(F.col(date) <= F.lit(last).cast(df.schema[date].dataType))
+def cutoff(df: DataFrame, date: str = "fecha", last: str | None = None) -> DataFrame:
+    """Rows up to and including a day; all rows without one."""
+    return df if last is None else df.filter(F.col(date) <= F.lit(last).cast(df.schema[date].dataType))
 
 
 def require_keys(df: DataFrame, cols: Sequence[str], nonzero: Sequence[str] = ()) -> DataFrame:

@@ -47,6 +47,13 @@ def row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which nulls count as equal; the left side's keys stay."""
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in on else F.col(f"`{c}`") for c in right.columns])
+    same = reduce(lambda a, b: a & b, [left[f"`{c}`"].eqNullSafe(renamed[f"`_r_{c}`"]) for c in on])
+    return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
+
+
 def join_lookup(
     fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
@@ -139,8 +146,8 @@ def join_on_date(*frames: DataFrame, date: str = "fecha") -> DataFrame:
 
 
 def with_total(df: DataFrame, total: DataFrame, on: Sequence[str], value: str, out: str = "share_pct") -> DataFrame:
-    """Left join of totals and the percentage of them; no total or zero gives null."""
-    totals = total.select(*on, F.col(value).alias("_total"))
+    """Left join of totals and the percentage of them; no total or zero gives null, a repeated total fails."""
+    totals = one_per_key(total.select(*on, F.col(value).alias("_total")), on, ["_total"])
     share = F.try_divide(F.lit(100.0) * F.col(value), F.col("_total"))
     return df.join(totals, list(on), "left").withColumn(out, share).drop("_total")
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from panelwright.operators.joins import null_safe_join
+
 
 def log_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Natural logs in place; values that are not positive become null."""
@@ -69,7 +71,9 @@ def _student_t():
         d = 1.0 - (a + b) * x / (a + 1.0)
         d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
         h = d.copy()
-        for m in range(1, 400):
+        m = 0
+        while True:  # the fraction converges for all arguments used, in about sqrt(a) steps
+            m += 1
             for num in (
                 m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
                 -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -84,6 +88,14 @@ def _student_t():
                 break
         return h
 
+    def gamma_step(a):
+        import math
+
+        # ln(gamma(a + 1/2) / gamma(a)): the expansion is exact to rounding from here on, where the difference loses digits.
+        if a < 200:
+            return math.lgamma(a + 0.5) - math.lgamma(a)
+        return 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3) - 1 / (640 * a**5)
+
     def two_sided(t, dof):
         import math
 
@@ -92,15 +104,13 @@ def _student_t():
         t = np.abs(np.asarray(t, dtype=float))
         dof = np.asarray(dof, dtype=float)
         out = np.full(t.shape, np.nan)
-        normal = dof > 1e6
-        out[normal] = [math.erfc(v / math.sqrt(2.0)) for v in t[normal]]
-        ok = ~normal & (dof > 0) & ~np.isnan(t)
+        ok = (dof > 0) & ~np.isnan(t)
         v, n = t[ok], dof[ok]
         x = n / (n + v * v)
         a, b = n / 2.0, np.full(n.shape, 0.5)
-        log_beta = np.array([math.lgamma(p) + math.lgamma(0.5) - math.lgamma(p + 0.5) for p in a])
+        log_beta = math.lgamma(0.5) - np.array([gamma_step(p) for p in a])
         with np.errstate(divide="ignore"):
-            front = np.exp(a * np.log(x) + b * np.log1p(-x) - log_beta)
+            front = np.exp(-a * np.log1p(v * v / n) + b * np.log(v * v / (n + v * v)) - log_beta)
         direct = x < (a + 1.0) / (a + b + 2.0)
         low = front * beta_fraction(a, b, np.where(direct, x, 0.0)) / a
         high = 1.0 - front * beta_fraction(b, a, np.where(direct, 0.0, 1.0 - x)) / b
@@ -190,7 +200,7 @@ def residuals(
     )
     coefs = models.select(*by, "series", "alpha", "beta")
     fitted = F.col("alpha") + F.col("beta") * F.col("_x")
-    return long.join(coefs, [*by, "series"]).select(*by, "series", order, (F.col("_y") - fitted).alias("resid"))
+    return null_safe_join(long, coefs, [*by, "series"]).select(*by, "series", order, (F.col("_y") - fitted).alias("resid"))
 
 
 def normality(n: Column, skew: Column, kurt: Column) -> dict[str, Column]:
@@ -246,7 +256,7 @@ def ols_diagnostics(
     trace = F.col("n") + F.col("sxx") + F.col("n") * F.col("mean_x") * F.col("mean_x")
     largest = (trace + F.sqrt(trace * trace - 4 * det)) / 2
     condition = models.select(*keys, F.try_divide(largest, F.sqrt(det)).alias("condition_number"))
-    return tested.join(condition, keys)
+    return null_safe_join(tested, condition, keys)
 
 
 def fitted_line(models: DataFrame, by: Sequence[str] = (), points: int = 100) -> DataFrame:

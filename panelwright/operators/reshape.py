@@ -162,8 +162,15 @@ def tidy_health(long: DataFrame) -> DataFrame:
     return tidy_select(dated, HEALTH_COLUMNS)
 
 
-def pivot_years(df: DataFrame, key: str, year: str, value: str, years: Sequence[int]) -> DataFrame:
-    """One row per key, one column per listed year."""
+def pivot_years(df: DataFrame, key: str, year: str, value: str, years: Sequence[int] | None = None) -> DataFrame:
+    """One row per key, one column per year, from the first to the last of the data unless listed.
+
+    Columns have to be known when the query is built, so without a list one aggregate of
+    the year column runs then.
+    """
+    if years is None:
+        first, last = df.agg(F.min(year), F.max(year)).first()
+        years = range(first, last + 1) if first is not None else []
     return df.groupBy(key).pivot(year, list(years)).agg(F.sum(value))
 
 

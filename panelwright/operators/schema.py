@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.codes import safe_name, yq_from_name, yq_from_per
 from panelwright.functions.text import BOM
-from panelwright.operators.joins import join_lookup
+from panelwright.operators.joins import join_lookup, null_safe_join
 from panelwright.operators.reshape import concat
 
 # The metadata columns that open every microdata table.
@@ -144,7 +144,7 @@ def number_in_group(df: DataFrame, keys: Sequence[str], by: str, out: str = "n")
     before = F.sum("_m").over(W.partitionBy(*keys).orderBy("_slice")) - F.col("_m")
     starts = sizes.select(*keys, "_slice", before.alias("_before"))
     inside = F.row_number().over(W.partitionBy(*keys, "_slice").orderBy("_h", by))
-    numbered = hashed.withColumn("_k", inside).join(starts, [*keys, "_slice"])
+    numbered = null_safe_join(hashed.withColumn("_k", inside), starts, [*keys, "_slice"])
     return numbered.withColumn(out, (F.col("_before") + F.col("_k")).cast("long")).drop(
         "_h", "_slice", "_k", "_before"
     )
@@ -153,7 +153,9 @@ def number_in_group(df: DataFrame, keys: Sequence[str], by: str, out: str = "n")
 def unique_names(manifest: DataFrame, path: str, stem: str, tag: str, suffix: str | Column = ".csv") -> DataFrame:
     """Collision-free names: ``stem__tag.csv``, then ``stem__tag__2.csv``, ``__3`` and so on."""
     end = F.lit(suffix) if isinstance(suffix, str) else suffix
-    named = manifest.withColumns({"_stem": safe_name(stem), "_tag": safe_name(tag), "_suffix": end})
+    # A missing stem or tag counts as empty: the row keeps a name.
+    blank = F.lit("")
+    named = manifest.withColumns({"_stem": F.coalesce(safe_name(stem), blank), "_tag": F.coalesce(safe_name(tag), blank), "_suffix": end})
     numbered = number_in_group(named, ["_stem", "_tag", "_suffix"], path, "_n")
     counter = F.when(F.col("_n") > 1, F.concat(F.lit("__"), F.col("_n").cast("string"))).otherwise("")
     return numbered.withColumn(

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions.text import metric_like
-from panelwright.operators.joins import join_lookup, keep_first
+from panelwright.operators.joins import join_lookup, keep_first, null_safe_join
 
 
 def _month_index(date: str) -> Column:
@@ -22,7 +22,7 @@ def _month_index(date: str) -> Column:
 
 
 def yoy(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequence[str] = (), months: int = 12) -> DataFrame:
-    """Growth on the observation exactly ``months`` earlier; rows without one are dropped.
+    """Growth on the observation exactly ``months`` earlier; rows without one, or without a date, are dropped.
 
     The lag is by date, not by row, so gaps in the series cannot shift it.
     """
@@ -31,7 +31,7 @@ def yoy(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequence[st
     for c in cols:
         lagged = lagged.withColumn(f"_{c}", F.last(c).over(w))
     growth = [(F.try_divide(F.col(c), F.col(f"_{c}")) - 1).alias(f"{c}_yoy") for c in cols]
-    return lagged.filter("_has > 0").select(*by, date, *growth)
+    return lagged.filter("_m is not null and _has > 0").select(*by, date, *growth)
 
 
 def base100(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequence[str] = ()) -> DataFrame:
@@ -44,15 +44,16 @@ def base100(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequenc
 
 def pct_of_max(df: DataFrame, col: str, by: Sequence[str], out: str = "pct_of_max") -> DataFrame:
     """Percentage of the largest value of the own series."""
-    peak = F.max(col).over(W.partitionBy(*by))
-    return df.withColumn(out, F.try_divide(F.lit(100.0) * F.col(col), peak))
+    # An aggregate and a join, so that a long series is not gathered in one task.
+    peak = df.groupBy(*by).agg(F.max(col).alias("_peak"))
+    return null_safe_join(df, peak, list(by), "left").withColumn(out, F.try_divide(F.lit(100.0) * F.col(col), F.col("_peak"))).drop("_peak")
 
 
 def share_of_total(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "share_pct") -> DataFrame:
-    """Percentage of the total, overall or per group; groups with a total <= 0 are left out."""
+    """Percentage of the total, overall or per group; groups with a total <= 0 are left out, rows of a null group are one."""
     if by:
         total = df.groupBy(*by).agg(F.sum(col).alias("_total")).filter("_total > 0")
-        return df.join(total, list(by)).withColumn(out, F.lit(100.0) * F.col(col) / F.col("_total")).drop("_total")
+        return null_safe_join(df, total, list(by)).withColumn(out, F.lit(100.0) * F.col(col) / F.col("_total")).drop("_total")
     total = df.agg(F.sum(col)).scalar()
     return df.filter(total > 0).withColumn(out, F.lit(100.0) * F.col(col) / total)
 

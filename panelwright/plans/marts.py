@@ -41,81 +41,81 @@ def _series(rows: DataFrame) -> DataFrame:
     return rows.select("indicador", "metric", "estado", "periodo", "fecha", "valor")
 
 
-def k1(tidy: DataFrame) -> DataFrame:
+def k1(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """National series in levels."""
     rows = _pairs(tidy, LEVEL_PAIRS).filter(F.col("estado") == NATION)
-    return _series(filters.cutoff(rows)).orderBy("indicador", "metric", "fecha", "periodo")
+    return _series(filters.cutoff(rows, last=last)).orderBy("indicador", "metric", "fecha", "periodo")
 
 
-def k2(tidy: DataFrame) -> DataFrame:
+def k2(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """National volume (or value) index, base 100; broken accents in the metric are repaired."""
     repaired = tidy.filter(F.col("estado") == NATION).withColumn("metric", fix_mojibake("metric"))
     index = reduce(lambda a, b: a | b, [metric_like("metric", t) for t in INDEX_TEXTS])
     base = metric_like("metric", "base 2018=100") | metric_like("metric", "2018=100")
     rows = repaired.filter(index & base & ~metric_like("metric", "variación"))
-    return _series(filters.cutoff(rows)).orderBy("indicador", "metric", "fecha", "periodo")
+    return _series(filters.cutoff(rows, last=last)).orderBy("indicador", "metric", "fecha", "periodo")
 
 
-def k3(tidy: DataFrame) -> DataFrame:
+def k3(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """State series: real value added, real wages (the deflated metric too), jobs."""
     wanted = ((F.col("indicador") == VALUE_ADDED) & (F.col("metric") == REAL)) | (
         (F.col("indicador") == JOBS) & (F.col("metric") == UNITS)
     ) | ((F.col("indicador") == WAGES) & metric_like("metric", "a precios de 2018"))
     rows = tidy.filter(wanted & (F.col("estado") != NATION))
-    return _series(filters.cutoff(rows)).orderBy("indicador", "metric", "estado", "fecha", "periodo")
+    return _series(filters.cutoff(rows, last=last)).orderBy("indicador", "metric", "estado", "fecha", "periodo")
 
 
-def _value_added_at_reference(tidy: DataFrame) -> DataFrame:
-    return filters.at_reference_period(filters.cutoff(filters.panel_slice(tidy, VALUE_ADDED, REAL)))
+def _value_added_at_reference(tidy: DataFrame, last: str | None) -> DataFrame:
+    return filters.at_reference_period(filters.cutoff(filters.panel_slice(tidy, VALUE_ADDED, REAL), last=last))
 
 
-def k4(tidy: DataFrame) -> DataFrame:
+def k4(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """States by real value added in the last reference year, with their share of the nation.
 
     Empty when the nation's total is missing or not positive.
     """
     # States and the nation per year are few rows; the last year is taken after the sum.
-    yearly = settled(sum_by(_value_added_at_reference(tidy), ["estado", "anio"], "valor"))
-    last = filters.latest_year(yearly)
-    nation = last.filter(F.col("estado") == NATION).filter("valor > 0").select("anio", "valor")
-    shared = with_total(last.filter(F.col("estado") != NATION), nation, ["anio"], "valor", "participacion_pct")
+    yearly = settled(sum_by(_value_added_at_reference(tidy, last), ["estado", "anio"], "valor"))
+    recent = filters.latest_year(yearly)
+    nation = recent.filter(F.col("estado") == NATION).filter("valor > 0").select("anio", "valor")
+    shared = with_total(recent.filter(F.col("estado") != NATION), nation, ["anio"], "valor", "participacion_pct")
     return shared.filter("participacion_pct is not null").orderBy(F.desc("valor"), "estado")
 
 
-def k4_top(tidy: DataFrame, n: int = 10) -> DataFrame:
+def k4_top(tidy: DataFrame, n: int = 10, last: str | None = None) -> DataFrame:
     """The first states of :func:`k4`, numbered."""
-    return series.rank_by(k4(tidy), "valor", "estado", n)
+    return series.rank_by(k4(tidy, last), "valor", "estado", n)
 
 
-def k5(tidy: DataFrame, n: int = 5) -> DataFrame:
+def k5(tidy: DataFrame, n: int = 5, last: str | None = None) -> DataFrame:
     """The nation and the leading states by date, with each state's share of the nation."""
-    dated = settled(sum_by(_value_added_at_reference(tidy), ["estado", "fecha"], "valor"))
+    dated = settled(sum_by(_value_added_at_reference(tidy, last), ["estado", "fecha"], "valor"))
     nation = dated.filter(F.col("estado") == NATION)
     states = dated.filter(F.col("estado") != NATION)
-    last = filters.latest_year(states.withColumn("anio", F.year("fecha")))
-    leaders = filters.top_n(sum_by(last, ["estado"], "valor"), n, [F.desc("valor"), "estado"]).select("estado")
+    recent = filters.latest_year(states.withColumn("anio", F.year("fecha")))
+    leaders = filters.top_n(sum_by(recent, ["estado"], "valor"), n, [F.desc("valor"), "estado"]).select("estado")
     shown = states.join(leaders, "estado", "left_semi").unionByName(nation)
     shared = with_total(shown, nation, ["fecha"], "valor", "participacion_pct")
     return shared.orderBy("estado", "fecha")
 
 
-def k6_long(tidy: DataFrame) -> DataFrame:
+def k6_long(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """(estado, anio, pct_of_max): state-year value added against the state's own peak."""
     states = filters.panel_slice(tidy, VALUE_ADDED, REAL, national=False)
-    yearly = sum_by(filters.at_reference_period(filters.cutoff(states)), ["estado", "anio"], "valor")
+    yearly = sum_by(filters.at_reference_period(filters.cutoff(states, last=last)), ["estado", "anio"], "valor")
     return series.pct_of_max(yearly, "valor", ["estado"]).select("estado", "anio", "pct_of_max")
 
 
-def k6(tidy: DataFrame, years: Sequence[int]) -> DataFrame:
+def k6(tidy: DataFrame, years: Sequence[int] | None = None, last: str | None = None) -> DataFrame:
     """The heat table: one row per state, one column per year."""
-    return pivot_years(k6_long(tidy), "estado", "anio", "pct_of_max", years)
+    return pivot_years(k6_long(tidy, last), "estado", "anio", "pct_of_max", years)
 
 
-def k7(tidy: DataFrame) -> DataFrame:
+def k7(tidy: DataFrame, last: str | None = None) -> DataFrame:
     """National annual variation in percent."""
     repaired = tidy.filter(F.col("estado") == NATION).withColumn("metric", fix_mojibake("metric"))
     rows = repaired.filter(metric_like("metric", VARIATION_TEXT))
-    return _series(filters.cutoff(rows)).orderBy("indicador", "metric", "fecha", "periodo")
+    return _series(filters.cutoff(rows, last=last)).orderBy("indicador", "metric", "fecha", "periodo")
 
 
 def fiscal_series(tidy: DataFrame, taxes: DataFrame, insurance: DataFrame, include_cumulative: bool = False) -> DataFrame:

@@ -28,13 +28,32 @@ def decode_value(c: Column, encoding: str) -> Column:
     return F.when(fixed == c, decode_cp1252(c)).otherwise(fixed)
 
 
+def distinct_names(header: list[str]) -> list[str]:
+    """Column names of a header; one that is repeated, in any case, gets its number from the second time on."""
+    out, seen = [], set()
+    for name in header:
+        unique, n = name, 2
+        while unique.lower() in seen:
+            unique, n = f"{name}_{n}", n + 1
+        seen.add(unique.lower())
+        out.append(unique)
+    return out
+
+
+# Column of lines that have more or fewer fields than their header; null for all others.
+IRREGULAR = "irregular"
+
+
 def read_group(
-    spark: SparkSession, paths: list[str], header: list[str], encoding: str, delimiter: str, multi_line: bool = False
+    spark: SparkSession, paths: list[str], header: list[str], encoding: str, delimiter: str, multi_line: bool = True
 ) -> DataFrame:
-    """Files that share encoding, delimiter and header, all columns string, plus the file name."""
+    """Files that share encoding, delimiter and header, all columns string, plus the file name.
+
+    A line with more or fewer fields than the header is also kept whole, in ``irregular``.
+    """
     # Four-byte text has no line end that splits safely: such a file is read by one task.
     whole = multi_line or READ_AS[encoding] == "UTF-32"
-    positions = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
+    positions = StructType([StructField(name, StringType()) for name in (*(f"_c{i}" for i in range(len(header))), "_line")])
     reader = (
         spark.read.schema(positions)
         .option("header", "true")
@@ -43,35 +62,40 @@ def read_group(
         .option("encoding", READ_AS[encoding])
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_line")
         .option("multiLine", str(whole).lower())
     )
     if READ_AS[encoding].startswith("UTF-") and not whole:
         # Two-byte text can be split by line only when told what a line end is.
         reader = reader.option("lineSep", "\n")
     raw = reader.csv(paths)
-    named = [decode_value(F.col(f"_c{i}"), encoding).alias(name) for i, name in enumerate(header)]
+    named = [decode_value(F.col(f"_c{i}"), encoding).alias(name) for i, name in enumerate(distinct_names(header))]
+    named.append(decode_value(F.col("_line"), encoding).alias(IRREGULAR))
     file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     return raw.select(F.url_decode(file_name).alias("_file"), *named)
 
 
-def read_micro_csv(spark: SparkSession, manifest: DataFrame, multi_line: bool = False, per: str = "per") -> DataFrame:
+def read_micro_csv(spark: SparkSession, manifest: DataFrame, multi_line: bool = True, per: str = "per") -> DataFrame:
     """All files of a manifest as one table: metadata columns, then every column found.
 
-    One scan per distinct (encoding, delimiter, header), not per file. The driver holds
+    ``multi_line`` reads quoted line ends, and each file in one task; without it large files
+    are split, which is right only where no value holds a line end. A file that begins with a
+    line of blanks is always read by line. One scan per distinct (encoding, delimiter, header), not per file. The driver holds
     file names only, as any Spark scan does.
     """
     usable = manifest.filter("error is null and size(header) > 0")
-    kind = F.struct("encoding", "delimiter", "header")
-    usable = usable.select("path", kind.alias("kind"), F.md5(F.to_json(kind)).alias("id"))
-    kinds = {r["id"]: r["kind"] for r in usable.groupBy("id").agg(F.any_value("kind").alias("kind")).collect()}
-    paths: dict[str, list[str]] = {}
-    for r in usable.select("id", "path").orderBy("path").toLocalIterator():
-        paths.setdefault(r["id"], []).append(r["path"])
+    # Lines of blanks before the header are passed over by line, not by record.
+    kind = F.struct("encoding", "delimiter", "header", "blank_start")
+    # One pass over the manifest, which opens files: a row for each kind of file, with its paths.
+    usable = usable.groupBy(F.md5(F.to_json(kind)).alias("id")).agg(F.any_value(kind).alias("kind"), F.sort_array(F.collect_list("path")).alias("paths"))
+    kinds, paths = {}, {}
+    for r in usable.toLocalIterator():
+        kinds[r["id"]], paths[r["id"]] = r["kind"], r["paths"]
     groups = sorted(((kinds[i], found) for i, found in paths.items()), key=lambda g: g[1][0])
     if not groups:
         raise ValueError("no readable file in the manifest")
     tables = []
     for kind, found in groups:
-        part = read_group(spark, found, kind["header"], kind["encoding"], kind["delimiter"], multi_line)
+        part = read_group(spark, found, kind["header"], kind["encoding"], kind["delimiter"], multi_line and not kind["blank_start"])
         tables.append(add_period_meta(part, "_file", per).drop("_file"))
     return union_by_name(tables)

@@ -17,22 +17,27 @@ NUL_WINDOW, NUL_LIMIT = 2000, 50
 DELIMITERS = (",", ";", "|", "\t")
 
 
-def _complete(head: Column) -> Column:
-    """UTF-8 validity, forgiving a character cut off at the end of the sample."""
+def _utf8(head: Column, whole: Column) -> Column:
+    """UTF-8 validity, forgiving a character that the end of the sample, but not of the file, cuts off."""
     size = F.octet_length(head)
-    valid = F.lit(False)
-    for cut in range(4):
-        valid = valid | F.is_valid_utf8(F.substring(head, F.lit(1), size - cut).cast("string"))
-    return valid
+    end = F.hex(F.substring(head, size - 2, F.lit(3)))
+    # The last lead byte without all its followers: one of any length, two before it, three before it.
+    cut = F.when(end.rlike("[C-F].$"), 1).when(end.rlike("[EF].[89AB].$"), 2).when(end.rlike("^F.[89AB].[89AB].$"), 3).otherwise(0)
+    valid = F.is_valid_utf8(head.cast("string"))
+    return valid | (~whole & (cut > 0) & F.is_valid_utf8(F.substring(head, F.lit(1), size - cut).cast("string")))
 
 
-def sniff_encoding(c: Column | str) -> Column:
-    """Byte-order mark, else many NULs, else valid UTF-8, else windows-1252."""
+def sniff_encoding(c: Column | str, whole: Column | bool = False) -> Column:
+    """Byte-order mark, else many NULs, else valid UTF-8, else windows-1252.
+
+    ``whole``: the sample is all of the file, so its last character is not cut off.
+    """
     head = _col(c)
     start = F.hex(F.substring(head, 1, 4))
     first = F.decode(F.substring(head, 1, NUL_WINDOW), "ISO-8859-1")
     nuls = F.length(first) - F.length(F.replace(first, F.lit("\0"), F.lit("")))
-    out = F.when(nuls > NUL_LIMIT, "utf-16").when(_complete(head), "utf-8").otherwise("cp1252")
+    whole = F.lit(whole) if isinstance(whole, bool) else F.coalesce(whole, F.lit(False))
+    out = F.when(nuls > NUL_LIMIT, "utf-16").when(_utf8(head, whole), "utf-8").otherwise("cp1252")
     for mark, name in reversed(BYTE_ORDER_MARKS):
         out = F.when(start.startswith(mark), name).otherwise(out)
     return out
@@ -53,7 +58,8 @@ def decode_head(c: Column | str, encoding: Column | str) -> Column:
 
 
 def first_line(c: Column | str) -> Column:
-    return F.get(F.split(_col(c), r"\r\n|\r|\n"), F.lit(0))
+    """The first line that is not blank, null if there is none."""
+    return F.nullif(F.regexp_extract(_col(c), r"(?m)^[^\S\r\n]*[^\s].*$", 0), F.lit(""))
 
 
 def sniff_delimiter(c: Column | str) -> Column:
@@ -73,9 +79,10 @@ def sniff_delimiter(c: Column | str) -> Column:
 def header_fields(line: Column | str, delimiter: Column | str) -> Column:
     """Column names of a header line; quoted names may hold the delimiter."""
     text, sep = _col(line), _col(delimiter)
-    pattern = F.concat(F.lit("["), sep, F.lit(r'](?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    # Each field with the separator behind it, found in one scan: quoted parts may hold separators.
+    fields = F.regexp_extract_all(F.concat(text, sep), F.concat(F.lit(r'((?:"[^"]*+"|[^"'), sep, F.lit(r']++|"(?![^"]*"))*+)['), sep, F.lit("]")), F.lit(1))
     unquoted = F.transform(
-        F.split(text, pattern),
+        fields,
         lambda f: F.replace(F.regexp_replace(f, r'^\s*"(.*)"\s*$', "$1"), F.lit('""'), F.lit('"')),
     )
     return F.when(F.length(text) > 0, unquoted).otherwise(F.array().cast("array<string>"))

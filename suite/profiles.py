@@ -7,11 +7,11 @@ from suite.inputs import FISCAL_SQL, fiscal_quarters, table
 
 
 def _quarterly(spark, sf):
-    """Order totals by quarter for each status; the gaps left by two filters are filled with 0."""
+    """Order totals by quarter for each status; the gaps of undated rows and of empty quarters are filled with 0."""
     orders = table(
-        spark, sf, "orders", "o_orderstatus", "o_orderdate", F.col("o_totalprice").alias("Impuesto Sobre la Renta"),
-        F.when(F.quarter("o_orderdate") != 3, F.col("o_totalprice")).alias("iva"),
-    ).filter("not (year(o_orderdate) = 1997 and o_orderstatus = 'F')")
+        spark, sf, "orders", "o_orderstatus", F.expr("CASE WHEN NOT (year(o_orderdate) = 1997 AND o_orderstatus = 'F') THEN o_orderdate END AS o_orderdate"),
+        F.col("o_totalprice").alias("Impuesto Sobre la Renta"), F.when(F.quarter("o_orderdate") != 3, F.col("o_totalprice")).alias("iva"),
+    )
     q = aggregates.to_quarterly(orders, "o_orderdate", {"Impuesto Sobre la Renta": "ISR", "iva": "IVA"}, by=["o_orderstatus"])
     return q.select("o_orderstatus", "fecha", F.round("ISR", 2).alias("ISR"), F.round("IVA", 2).alias("IVA"), "n_months")
 
@@ -120,7 +120,7 @@ def _temporal_sql():
 
 
 def _shape(spark, sf):
-    return profile.shape(table(spark, sf, "events").drop("ts"))
+    return profile.shape(table(spark, sf, "events"))
 
 
 def _corr(spark, sf):
@@ -205,8 +205,8 @@ QUERIES = {
     "temporal_profile": (_temporal, _temporal_sql()),
     "shape": (
         _shape,
-        """SELECT (SELECT count(*) FROM events) AS n_rows, 5 AS n_columns, position, "column", dtype FROM (VALUES (0, 'event_id', 'bigint'),
-        (1, 'user_id', 'bigint'), (2, 'event_type', 'string'), (3, 'value', 'double'), (4, 'props', 'string')) v(position, "column", dtype)""",
+        """SELECT (SELECT count(*) FROM events) AS n_rows, 6 AS n_columns, position, "column", dtype FROM (VALUES (0, 'event_id', 'bigint'), (1, 'ts', 'timestamp_ntz'),
+        (2, 'user_id', 'bigint'), (3, 'event_type', 'string'), (4, 'value', 'double'), (5, 'props', 'string')) v(position, "column", dtype)""",
     ),
     "corr_matrix": (_corr, _corr_sql()),
     "magnitude_ratio": (

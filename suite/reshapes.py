@@ -32,8 +32,8 @@ def _ffill(spark, sf):
 
 def _pivot(spark, sf):
     orders = table(spark, sf, "orders", "o_orderpriority", F.year("o_orderdate").alias("anio"), "o_totalprice")
-    wide = reshape.pivot_years(orders, "o_orderpriority", "anio", "o_totalprice", range(1995, 2002))
-    return wide.select("o_orderpriority", *[F.round(f"`{y}`", 2).alias(f"y{y}") for y in range(1995, 2002)])
+    wide = reshape.pivot_years(orders, "o_orderpriority", "anio", "o_totalprice")
+    return wide.select("o_orderpriority", *[F.round(f"`{y}`", 2).alias(f"y{y}") for y in wide.columns if y != "o_orderpriority"])
 
 
 def _melt(keep):

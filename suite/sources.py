@@ -65,15 +65,26 @@ def _dictionaries(spark, sf):
     return rows.groupBy("tabla", "variable", cat.alias("valor"), F.size("categorias").alias("n_cat"), "error").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _listing(spark, sf):
-    found = files.discover(spark, sf, ".PARQUET")
-    return found.select("name", (F.col("length") > 0).alias("has_bytes"))
+MANIFEST_MODULES = ("SDEMT", "COE1T", "COE2T", "HOGT", "VIVT")
 
 
-TABLES = (
-    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part",
-    "region", "supplier",
-)
+def _manifest(spark, sf):
+    """A file head for every order, in five encodings and four separators, under a name that tells module and period."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    sep = pick(k, ",", ";", "|", "\t")
+    line = F.concat(F.lit("  \n"), F.concat_ws("", F.lit("CD_A"), sep, F.lit('"per'), sep, F.lit('x"'), sep, F.lit("año")), F.lit("\n1"), sep, F.lit("2"))
+    way = F.pmod(k, F.lit(5))
+    mark = lambda h: F.unhex(F.lit(h))
+    head = (
+        F.when(way == 0, F.encode(line, "UTF-8")).when(way == 1, F.concat(mark("EFBBBF"), F.encode(line, "UTF-8")))
+        .when(way == 2, F.concat(mark("FFFE"), F.encode(line, "UTF-16LE"))).when(way == 3, F.concat(mark("FEFF"), F.encode(line, "UTF-16BE")))
+        .otherwise(F.encode(line, "ISO-8859-1"))
+    )
+    name = F.concat(pick(k, *MANIFEST_MODULES), F.lit("__x_20"), F.date_format(day, "yy"), F.lit("_trim"), F.quarter(day).cast("string"), F.lit(".csv"))
+    heads = table(spark, sf, "orders", k.cast("string").alias("path"), name.alias("name"), F.octet_length(head).cast("long").alias("length"), head.alias("head"), F.lit(None).cast("string").alias("error"))
+    found = files.csv_manifest(heads)
+    return found.groupBy("encoding", "delimiter", F.array_join("header", "~").alias("header"), "module", "anio", "trimestre").agg(F.count(F.lit(1)).alias("n"))
+
 
 QUERIES = {
     "parquet_scan": (_scan, "SELECT l_returnflag, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem GROUP BY 1"),
@@ -98,7 +109,11 @@ QUERIES = {
         CASE WHEN c_custkey % 3 = 2 THEN 'unreadable dictionary' END AS error,
         CAST(sum(CASE WHEN c_custkey % 3 = 2 THEN 1 ELSE 2 END) AS BIGINT) AS n FROM customer GROUP BY ALL""",
     ),
-    "file_listing": (
-        _listing, "SELECT name, true AS has_bytes FROM (VALUES " + ", ".join(f"('{t}.parquet')" for t in TABLES) + ") v(name)",
+    "csv_manifest": (
+        _manifest,
+        f"""SELECT {pick_sql('o_orderkey', 'utf-8', 'utf-8-sig', 'utf-16le', 'utf-16be', 'cp1252')} AS encoding, d AS delimiter,
+        'CD_A~per' || d || 'x~año' AS header, {pick_sql('o_orderkey', *MANIFEST_MODULES)} AS module, CAST(2000 + year(o_orderdate) % 100 AS INTEGER) AS anio,
+        CAST(quarter(o_orderdate) AS INTEGER) AS trimestre, count(*) AS n
+        FROM (SELECT *, {pick_sql('o_orderkey', ',', ';', '|', chr(9))} AS d FROM orders) GROUP BY ALL""",
     ),
 }

@@ -43,7 +43,7 @@ def test_manifest(spark, drops):
 def test_read_micro_csv(spark, drops, rows):
     table = microdata.read_micro_csv(spark, files.manifest(spark, str(drops)))
     assert table.columns[:3] == ["anio", "trimestre", "anio_trimestre"]
-    assert table.columns[3:] == ["a,b", "CD_A", "ent", "mun", "name", "PER"]
+    assert table.columns[3:] == ["a,b", "CD_A", "ent", "irregular", "mun", "name", "PER"]
     assert dict(table.dtypes)["anio"] == "int" and dict(table.dtypes)["ent"] == "string"
     got = {r["ent"]: r for r in table.collect()}
     assert (got["01"]["anio_trimestre"], got["01"]["CD_A"]) == ("2024T1", "año")
@@ -67,11 +67,11 @@ def test_case_of_columns(spark, drops, tmp_path):
     write(tmp_path, "SDEMT_1.csv", "CD_A,x\n1,2\n", "utf-8")
     write(tmp_path, "SDEMT_2.csv", "cd_a,x\n3,4\n", "utf-8")
     merged = microdata.read_micro_csv(spark, files.manifest(spark, str(tmp_path)))
-    assert len(merged.columns) == 5
+    assert len(merged.columns) == 6
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
         apart = microdata.read_micro_csv(spark, files.manifest(spark, str(tmp_path)))
-        assert apart.columns[3:] == ["CD_A", "cd_a", "x"]
+        assert apart.columns[3:] == ["CD_A", "cd_a", "irregular", "x"]
         assert {(r["CD_A"], r["cd_a"]) for r in apart.collect()} == {("1", None), (None, "3")}
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
