@@ -58,7 +58,16 @@ def _sums(spark, sf):
 
 def _inference(spark, sf):
     out = regression.ols_inference(_models(spark, sf)[1])
-    return out.select("l_returnflag", "series", "p_beta", "p_alpha", "p_f", "beta_low", "beta_high", "alpha_low", "alpha_high")
+    return out.select("l_returnflag", "series", *[F.round(c, 9).alias(c) for c in ("p_beta", "p_alpha", "p_f")])
+
+
+def _tail_sql(t):
+    """The two-sided tail of Student's t for n - 2 degrees of freedom, which for whole degrees is a finite sum."""
+    angle = f"atan(abs({t}) / sqrt(n - 2))"
+    even = f"list_sum(list_transform(range((n - 2) // 2), lambda k: exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1)) * pow(cos({angle}), 2 * k)))"
+    odd = f"coalesce(list_sum(list_transform(range((n - 3) // 2), lambda k: exp(lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5)) * pow(cos({angle}), 2 * k + 1))), 0)"
+    inner = f"CASE WHEN n % 2 = 0 THEN sin({angle}) * {even} ELSE 2 / pi() * ({angle} + sin({angle}) * {odd}) END"
+    return f"round(1 - {inner}, 9) + 0.0"
 
 
 def _bounds(spark, sf):
@@ -75,7 +84,7 @@ def _diagnostics(spark, sf):
     panel, models = _models(spark, sf)
     out = regression.ols_diagnostics(panel, models, YS, X, "fecha", by=BY)
     cols = ("durbin_watson", "skew", "kurtosis", "jarque_bera", "p_jarque_bera")
-    return out.select("l_returnflag", "series", "n", *[F.round(c, 6).alias(c) for c in cols], F.round("condition_number", 3).alias("condition_number"), F.round("omnibus", 6).alias("omnibus"))
+    return out.select("l_returnflag", "series", "n", *[F.round(c, 6).alias(c) for c in cols], F.round("condition_number", 3).alias("condition_number"), F.round("omnibus", 6).alias("omnibus"), F.round("p_omnibus", 8).alias("p_omnibus"))
 
 
 _OMNIBUS = """z1 AS (SELECT *, sk * sqrt((n + 1) * (n + 3) / (6.0 * (n - 2))) AS yy,
@@ -105,7 +114,10 @@ QUERIES = {
         round(alpha / se_alpha, 6) AS t_alpha, round(1 - (1 - r2) * (n - 1) / (n - 2), 6) AS adj_r2, round(ll, 6) AS log_lik, round(4 - 2 * ll, 6) AS aic,
         round(2 * ln(n) - 2 * ll, 6) AS bic, round(pow(beta / se_beta, 2), 4) AS f_stat FROM ses""",
     ),
-    "ols_inference": (_inference, None),
+    "ols_inference": (
+        _inference,
+        f"WITH {_LONG} SELECT l_returnflag, series, {_tail_sql('beta / se_beta')} AS p_beta, {_tail_sql('alpha / se_alpha')} AS p_alpha, {_tail_sql('beta / se_beta')} AS p_f FROM ses",
+    ),
     "ols_inference_bounds": (
         _bounds, f"WITH {_LONG} SELECT l_returnflag, series, true AS inside, true AS consistent, round(beta, 8) AS beta FROM fit",
     ),
@@ -114,7 +126,7 @@ QUERIES = {
         f"""WITH {_LONG}, {_OMNIBUS} SELECT l_returnflag, series, z3.n, round(dw, 6) AS durbin_watson, round(sk, 6) AS skew, round(ku, 6) AS kurtosis,
         round(z3.n / 6.0 * (sk * sk + (ku - 3) * (ku - 3) / 4), 6) AS jarque_bera, round(exp(-z3.n / 12.0 * (sk * sk + (ku - 3) * (ku - 3) / 4)), 6) AS p_jarque_bera,
         round(((fit.n + sxx + fit.n * mx * mx) + sqrt(pow(fit.n + sxx + fit.n * mx * mx, 2) - 4 * fit.n * sxx)) / 2 / sqrt(fit.n * sxx), 3) AS condition_number,
-        round(zs * zs + zk * zk, 6) AS omnibus FROM z3 JOIN fit USING (l_returnflag, series)""",
+        round(zs * zs + zk * zk, 6) AS omnibus, round(exp(-(zs * zs + zk * zk) / 2), 8) AS p_omnibus FROM z3 JOIN fit USING (l_returnflag, series)""",
     ),
     "fitted_line": (
         _line,
