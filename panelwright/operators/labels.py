@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.codes import code_variants, plain_code, table_code
 from panelwright.functions.text import strip
-from panelwright.operators.joins import join_lookup, settled
+from panelwright.operators.joins import BROADCAST_BYTES, join_lookup, settled
 
 # Variables with at most this many codes and bytes are looked up in a map; others are joined.
 MAP_CODES = 256
@@ -75,7 +75,13 @@ def apply_labels(
     join. A longer list is joined, with the size check of :func:`join_lookup`.
     """
     mine, columns, sizes = _variable_columns(df, dictionary, base)
-    short = sorted(v for v, (n, size) in sizes.items() if n <= map_codes and size <= MAP_BYTES)
+    # Maps travel together, so their sum is bounded too; the smallest lists go first.
+    short, total = [], 0
+    for v, (n, size) in sorted(sizes.items(), key=lambda s: (s[1][1] or 0, s[0])):
+        total += size or 0
+        if n <= map_codes and (size or 0) <= MAP_BYTES and total <= BROADCAST_BYTES:
+            short.append(v)
+    short.sort()
     long = sorted(set(sizes) - set(short))
     out = df
     if short:

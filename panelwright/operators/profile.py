@@ -147,13 +147,15 @@ def modes(counts: DataFrame, n_modes: int = 3) -> DataFrame:
 def center_stats(df: DataFrame, cols: Sequence[str], n_modes: int = 3) -> DataFrame:
     """count, mean, median, quartiles and first modes of each column."""
     counts = column_counts(df, cols)
-    basic = counts.groupBy("column").agg(
-        F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
-    )
+    # One row a column from the table itself, so that a column of nulls has one too.
+    stats = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(F.col(c).cast("double")).alias("mean")) for c in cols
+    ])
+    basic = df.agg(stats.alias("s")).select(F.inline("s"))
     cut = exact_quantiles(counts).select(
         "column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))]
     )
-    return basic.join(cut, "column").join(modes(counts, n_modes), "column")
+    return basic.join(cut, "column", "left").join(modes(counts, n_modes), "column", "left")
 
 
 def temporal_profile(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:

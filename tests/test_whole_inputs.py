@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright.functions import codes, text
-from panelwright.operators import codebook, filters, joins, regression, reshape, schema, series
+from panelwright.operators import codebook, filters, joins, profile, regression, reshape, schema, series
 from panelwright.sources import files, microdata, sniff
 
 
@@ -109,3 +109,10 @@ def test_one_rule_for_p_values_at_every_size(spark):
     normal = math.erfc(2 / math.sqrt(2))
     # The difference from the normal law shrinks as 1 / n, without a jump where a rule could have changed.
     assert all(0 < p - normal < 1 / n for p, n in zip(got, sizes)) and abs(got[0] - got[1]) < 1e-10
+
+
+def test_column_of_nulls_has_center_stats(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1.0D, CAST(NULL AS DOUBLE)), (3.0D, NULL) AS t(a, b)")
+    got = {r["column"]: r for r in profile.center_stats(rows, ["a", "b"]).collect()}
+    assert (got["a"]["count"], got["a"]["mean"], got["a"]["median"]) == (2, 2.0, 2.0)
+    assert (got["b"]["count"], got["b"]["mean"], got["b"]["modes"]) == (0, None, None)
