@@ -14,7 +14,7 @@ from panelwright.functions.codes import digit_key
 # A side goes to every executor only when it has at most this many rows and bytes.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Copies of the lookup side when it is too large for that.
+# Copies of the lookup side in a salted join.
 SALTS = 32
 
 
@@ -54,21 +54,24 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
 
 
-def join_lookup(
-    fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
-) -> DataFrame:
+def join_lookup(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a fact to a lookup that has one row per key.
 
-    A lookup measured as small is broadcast, so the fact is not shuffled. A larger one
-    is copied once per salt and joined on key + salt: a key that holds a third of the
-    fact is spread over ``salts`` tasks. Both routes give the same rows.
+    A lookup measured as small is broadcast, so the fact is not shuffled. A larger one is
+    joined by sort and merge: where one key holds much of the fact, Spark splits that
+    part of the fact by measured size and repeats the lookup's rows for it only. Both
+    routes give the same rows.
     """
     on, lookup = list(on), settled(lookup)
-    if fits_broadcast(lookup):
-        return fact.join(F.broadcast(lookup), on, how)
+    return fact.join(F.broadcast(lookup) if fits_broadcast(lookup) else lookup.hint("merge"), on, how)
+
+
+def join_salted(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """The same join for sessions in which Spark may not split keys itself: the lookup is copied once per salt."""
+    on = list(on)
     salted = fact.withColumn("_salt", row_salt(fact, salts))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -33,12 +33,10 @@ def _many_to_one(spark, sf):
 
 
 def _salted(spark, sf):
-    """The route for a lookup too large to broadcast, on the same join."""
+    """The salted route, on the same join."""
     items = table(spark, sf, "lineitem", F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_orderkey", "l_linenumber")
     parts = table(spark, sf, "part", F.when(F.col("p_size") > 10, F.col("p_partkey")).alias("p_partkey"), "p_brand")
-    salted = items.withColumn("_salt", joins.row_salt(items, 8))
-    copies = parts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    joined = salted.join(copies.hint("merge"), ["p_partkey", "_salt"], "left").drop("_salt")
+    joined = joins.join_salted(items, parts, ["p_partkey"], salts=8)
     return joined.groupBy("p_brand").agg(F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("n"))
 
 
