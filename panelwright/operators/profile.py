@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Equal-width slices in which a quantile is searched before rows are ordered.
+# Slices of equal width in which a quantile is searched before rows are ordered.
 SLICES = 4096
 
 
@@ -44,17 +44,28 @@ def _count_values(df: DataFrame) -> DataFrame:
     )
 
 
-def _narrow(inside: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _magnitude(value: Column) -> Column:
+    """A finite number that grows with the value: by one an octave, on both sides of zero; infinities and NaN at the ends."""
+    octave = F.signum(value) * (F.log2(F.abs(value)) + 1075)
+    return (
+        F.when(F.isnan(value), 2300.0).when(value == float("inf"), 2200.0).when(value == float("-inf"), -2200.0)
+        .when(value == 0, 0.0).otherwise(octave)
+    )
+
+
+def _narrow(inside: DataFrame, targets: DataFrame, by_magnitude: bool) -> tuple[DataFrame, DataFrame]:
     """Keep the slices that hold a wanted rank.
 
     ``inside``: column, part, value, n. ``targets``: column, part, rows before it, ranks
-    wanted in it. Each part is cut into equal-width slices between its own extremes, so
-    one far value cannot keep the others together for more than one step.
+    wanted in it. Each part is cut into slices of equal width between its own extremes,
+    by magnitude or by value: after a step by magnitude, far values and infinities are in
+    slices of their own.
     """
     key = ["column", "part"]
-    span = inside.groupBy(*key).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    at = _magnitude(F.col("value")) if by_magnitude else F.col("value")
+    span = inside.groupBy(*key).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
     width = F.col("hi") - F.col("lo")
-    slice_no = F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
+    slice_no = F.least(F.floor((at - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
     # A part per column, then at most two per wanted quantile: small enough to broadcast.
     sliced = inside.join(F.broadcast(span), key).select(
         *key, "value", "n", F.when(width > 0, slice_no).otherwise(0).cast("int").alias("slice")
@@ -89,8 +100,8 @@ def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> Da
     total = counts.groupBy("column").agg(F.sum("n").alias("total"))
     inside = counts.select("column", zero.alias("part"), "value", "n")
     targets = total.select("column", zero.alias("part"), zero.alias("before"), ranks.alias("ranks"))
-    for _ in range(2):
-        inside, targets = _narrow(inside, targets)
+    for by_magnitude in (True, False):
+        inside, targets = _narrow(inside, targets, by_magnitude)
     ordered = inside.join(F.broadcast(targets), ["column", "part"])
     start = F.col("before") + F.sum("n").over(W.partitionBy("column", "part").orderBy("value")) - F.col("n")
     found = (

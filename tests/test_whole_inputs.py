@@ -116,3 +116,18 @@ def test_column_of_nulls_has_center_stats(spark):
     got = {r["column"]: r for r in profile.center_stats(rows, ["a", "b"]).collect()}
     assert (got["a"]["count"], got["a"]["mean"], got["a"]["median"]) == (2, 2.0, 2.0)
     assert (got["b"]["count"], got["b"]["mean"], got["b"]["modes"]) == (0, None, None)
+
+
+def test_quantiles_of_values_far_apart(spark):
+    values = [i / 997 for i in range(2000)] + [1e200, 1e300, -1e300, 1e-300, 0.0, -0.5]
+    got = profile.describe(spark.createDataFrame([(v,) for v in values], "v double"), ["v"]).first()
+    ordered = sorted(values)
+
+    def at(p):
+        k = p * (len(ordered) - 1)
+        low = ordered[int(k)]
+        return low + (ordered[min(int(k) + 1, len(ordered) - 1)] - low) * (k - int(k))
+
+    assert [got.q25, got.q50, got.q75] == pytest.approx([at(0.25), at(0.5), at(0.75)], rel=1e-12)
+    odd = [float("nan"), float("inf"), float("-inf"), 1.0, 2.0, 3.0, 4.0]
+    assert profile.describe(spark.createDataFrame([(v,) for v in odd], "v double"), ["v"]).first().q50 == 3.0
