@@ -54,11 +54,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def fit_noisy_or(texts: list[str], toxic: list[int], epochs: int = EPOCHS):
     """(weights, bias) of sentence scores under p = 1 - prod(1 - s), by Adam on the document likelihood."""
     import re
+    from array import array
 
     import numpy as np
 
     cut, known = re.compile(PARTS).findall, {}
-    index, words, sentences, docs = [], [], 0, []
+    index, words, sentences, docs = array("i"), array("i"), 0, array("i")
     for n, text in enumerate(texts):
         for sentence in re.split(r"[.!?\n]+", text.lower()):
             if got := cut(sentence):
@@ -66,20 +67,20 @@ def fit_noisy_or(texts: list[str], toxic: list[int], epochs: int = EPOCHS):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = features(word)
-                    index += ids
-                    words += [sentences] * len(ids)
+                    index.extend(ids)
+                    words.extend([sentences] * len(ids))
                 sentences += 1
                 docs.append(n)
-    index, words, docs, y = (np.array(x, np.int64) for x in (index, words, docs, toxic))
+    index, words, docs, y = np.array(index, np.int32), np.array(words, np.int32), np.array(docs, np.int32), np.array(toxic, np.int64)
     weights, bias = np.zeros(FEATURES), -6.0
     if not len(index) or not 0 < y.sum() < len(y):
         return weights, bias if not len(y) or not y.all() else 0.0
-    pairs = np.unique(index * len(y) + docs[words]) // len(y)
+    pairs = np.unique(index.astype(np.int64) * len(y) + docs[words]) // len(y)
     used, df = np.unique(pairs, return_counts=True)
     used = used[df >= LEAST_DOCS]
     kept = np.isin(index, used)
     index, words = index[kept], words[kept]
-    column = np.searchsorted(used, index)
+    column = np.searchsorted(used, index).astype(np.int32)
     w, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     w[-1] = bias
     for t in range(1, epochs + 1):
