@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import arrow_map, settled, whole_text
+from panelwright.llm.common import arrow_map, settled, whole_text, written
 from panelwright.llm.components import components
 
 BITS = 64
@@ -134,12 +134,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One row of ``docs`` for each component: that of the least id.
 
     Where several rows have that id, one of them stays. Rows with a null id stay, as
-    nothing names them. Only ids are shuffled against the rows, and rows of repeated ids.
+    nothing names them. The ids that go, and those that are repeated, are written as tables
+    first: Spark then knows their size and leaves the rows where they are if it is small.
     """
     found = settled(near_duplicates(docs, id_col, text_col, **options))
     losers = found.filter(F.col(id_col) != F.col("component_id")).select(id_col)
-    again = found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().filter("count > 1").select(id_col)
-    single = docs.join(losers.union(again).distinct(), id_col, "left_anti").select(*docs.columns)
+    again = written(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().filter("count > 1").select(id_col))
+    gone = written(losers.union(again).distinct())
+    single = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     return single.unionByName(docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col]))
 
 
