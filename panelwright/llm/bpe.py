@@ -148,14 +148,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     return arrow_map(docs, [F.col(id_col), whole_text(text_col)], f"`{id_col}` {kind}, ids array<int>", _encoder(path))
 
 
-def decode(encoded: DataFrame, id_col: str = "doc_id", path: str | None = None) -> DataFrame:
-    """(id, ids, text): the tokens of each row's ids, special ones too, joined by one blank.
-
-    The vocabulary names no decoder, so its library gives the tokens as they are, word-end
-    marks included. Null ids give an empty text; an id outside the vocabulary gives nothing.
-    """
-    path = path or vocabulary.default_path("word_bpe_49k.json")
-
+def _decoder(path: str):
     def make():
         spec = vocabulary.read(path)
         names = {i: s for s, i in (spec["model"]["vocab"] | vocabulary.specials(spec)).items()}
@@ -167,29 +160,59 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", path: str | None = None)
 
         return step
 
+    return make
+
+
+def _digester():
+    from hashlib import sha256
+
+    def step(keys, ids, texts):
+        values, cuts = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+        rows = [values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        texts = [t.encode() for t in (texts if isinstance(texts, list) else texts.to_pylist())]
+        return [keys, [len(r) // 4 for r in rows], [sha256(r).hexdigest() for r in rows], [sha256(t).hexdigest() for t in texts]]
+
+    return step
+
+
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def decode(encoded: DataFrame, id_col: str = "doc_id", path: str | None = None) -> DataFrame:
+    """(id, ids, text): the tokens of each row's ids, special ones too, joined by one blank.
+
+    The vocabulary names no decoder, so its library gives the tokens as they are, word-end
+    marks included. Null ids give an empty text; an id outside the vocabulary gives nothing.
+    """
+    path = path or vocabulary.default_path("word_bpe_49k.json")
     kind = dict(encoded.dtypes)[id_col]
-    return arrow_map(encoded, [F.col(id_col), F.col("ids")], f"`{id_col}` {kind}, ids array<int>, text string", make)
+    return arrow_map(encoded, [F.col(id_col), F.col("ids")], f"`{id_col}` {kind}, ids array<int>, text string", _decoder(path))
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of decoded rows; ids count as little-endian 32-bit integers."""
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): texts encoded and decoded again in one pass.
+
+    The digest of the ids takes them as little-endian 32-bit integers. Encoding and
+    decoding follow each other in the same Python worker, so neither ids nor decoded texts
+    travel between processes.
+    """
+    path = path or vocabulary.default_path("word_bpe_49k.json")
 
     def make():
-        from hashlib import sha256
+        steps = [_encoder(path)(), _decoder(path)(), _digester()]
 
-        def step(keys, ids, texts):
-            values, cuts = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            rows = [values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            return [keys, [len(r) // 4 for r in rows], [sha256(r).hexdigest() for r in rows], [sha256(t).hexdigest() for t in texts.to_pylist()]]
+        def step(*columns):
+            for one in steps:
+                columns = one(*columns)
+            return columns
 
         return step
 
-    kind = dict(decoded.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow_map(decoded, [F.col(id_col), F.col("ids"), whole_text()], schema, make)
+    kind = dict(docs.dtypes)[id_col]
+    return arrow_map(docs, [F.col(id_col), whole_text(text_col)], f"`{id_col}` {kind}, {DIGESTS}", make)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     from panelwright.llm.common import table
 
-    return digests(decode(encode(table(spark, sf_dir, "documents"))))
+    return round_trip(table(spark, sf_dir, "documents"))

@@ -112,6 +112,11 @@ def test_token_counts_and_encoding_equal_the_library(spark):
         ids = library.encode(text or "", add_special_tokens=False).ids
         assert found[i].ids == ids
         assert found[i].text == library.decode(ids, skip_special_tokens=False)
+    for r in bpe.round_trip(docs).collect():
+        ids, decoded = found[r.doc_id].ids, found[r.doc_id].text
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(packed).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def test_merge_rounds_without_order_take_one_place_a_round():
