@@ -130,14 +130,13 @@ def near_duplicates(
     return prints.join(labels, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for each component: that of the least id.
+def keep_least(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each component of ``found`` (id, component_id): that of the least id.
 
     Where several rows have that id, one of them stays. Rows with a null id stay, as
     nothing names them. The ids that go, and those that are repeated, are written as tables
     first: Spark then knows their size and leaves the rows where they are if it is small.
     """
-    found = settled(near_duplicates(docs, id_col, text_col, **options))
     losers = found.filter(F.col(id_col) != F.col("component_id")).select(id_col)
     again = written(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().filter("count > 1").select(id_col))
     gone = written(losers.union(again).distinct())
@@ -145,6 +144,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return single.unionByName(docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col]))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` for each component: that of the least id."""
+    return keep_least(docs, settled(near_duplicates(docs, id_col, text_col, **options)), id_col)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     from panelwright.llm.common import table
 

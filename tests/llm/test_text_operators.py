@@ -8,7 +8,7 @@ import pytest
 
 pytest.importorskip("xxhash")
 
-from panelwright.llm import bpe, chat, fingerprint, simhash, token_counts, vocabulary  # noqa: E402
+from panelwright.llm import bpe, chat, fingerprint, near_copies, simhash, token_counts, vocabulary  # noqa: E402
 from panelwright.llm.components import components  # noqa: E402
 
 DOCS = "doc_id long, text string, _text string, fingerprint int"
@@ -217,3 +217,42 @@ def test_digest_does_not_depend_on_neighbours_or_chunks(monkeypatch):
     assert [fingerprint.text_form(fingerprint.digests([t], rank)[0]) for t in texts] == whole
     monkeypatch.setattr(fingerprint, "CHUNK", 1000)
     assert [fingerprint.text_form(d) for d in fingerprint.digests(texts, rank)] == whole
+
+
+def word_sets(texts, words=5):
+    tokens = [(t or "").lower().split() for t in texts]
+    return [{tuple(t[i : i + words]) for i in range(max(1, len(t) - words + 1))} for t in tokens]
+
+
+@pytest.mark.parametrize("more", [2, 64])
+def test_near_copies_are_those_of_all_pairs(spark, monkeypatch, more):
+    """Also with one or two words in a hundred changed, where SimHash at two bits loses most copies."""
+    monkeypatch.setattr(near_copies, "MORE", more)
+    rng = random.Random(8)
+    base = words(rng, 300)
+    texts = [None, "", " \t\n", "one", "One", "one two", base, base.upper(), base]
+    for changes in [1, 2, 3, 4, 5, 6, 8, 12, 20, 40] * 4:
+        changed = base.split()
+        for at in rng.sample(range(300), changes):
+            changed[at] = f"changed{rng.randrange(10**6)}"
+        texts.append(" ".join(changed))
+    for _ in range(10):
+        other = words(rng, rng.randint(20, 400)).split()
+        texts += [" ".join(other), " ".join(other[: int(len(other) * 0.9)]), " ".join([*other, *words(rng, len(other) // 20).split()])]
+    sets, parent = word_sets(texts), list(range(len(texts)))
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for i, j in near:
+        a, b = find(parent, i), find(parent, j)
+        parent[max(a, b)] = min(a, b)
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [find(parent, i) for i in range(len(texts))]
+    nulls = documents(spark, [base, "nothing like it"]).selectExpr("cast(null as long) as doc_id", "text", "_text", "fingerprint")
+    kept = near_copies.keep_one(docs.unionByName(docs.filter("doc_id < 9")).unionByName(nulls))
+    assert kept.columns == docs.columns
+    want = sorted({find(parent, i) for i in range(len(texts))})
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
+    assert kept.filter("doc_id is null").count() == 2
+    assert near_copies.near_copies(docs.limit(0)).count() == 0
+    loose = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert len(loose) > len(want)
