@@ -14,11 +14,13 @@ PARTS = r"\w+|[.!?\n]+"
 FEATURES = 1 << 18
 #: Prefixes that share a weight between the forms of a word.
 PREFIXES = (3, 4, 5, 6)
-#: Bounds of the labelled rows the model is fitted on: documents per label, and the bytes of each.
-SAMPLE, SAMPLE_BYTES = 1500, 16_384
+#: Bounds of the labelled rows the model is fitted on: documents per label, and their bytes per label and doubling of length.
+SAMPLE, SAMPLE_BYTES = 1500, 1 << 22
 EPOCHS = 150
 #: A feature gets a weight if so many fitted documents have it; rarer ones would be learnt by heart.
 LEAST_DOCS, L2 = 4, 1e-5
+#: A sentence's score that counts as none when a document is scored, so that many clean sentences don't add up.
+FLOOR = 0.02
 
 
 def features(word: str) -> list[int]:
@@ -35,24 +37,34 @@ def fold(id_col: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(text bytes, toxic): up to ``sample`` labelled documents per label, in the order of a hash of the id.
+    """(id, text bytes, toxic): up to ``sample`` labelled documents per label, in the order of a hash of the id.
 
-    Only ids outside fold 0. Rows with a null id or label are left out, of several labels
-    of a document the highest counts, and documents above ``SAMPLE_BYTES`` are not fitted
-    on (they are scored like all others). The chosen ids are bounded, so they are sent to
-    the texts.
+    Only ids outside fold 0. Rows with a null id or label are left out, and of several labels
+    of a document the highest counts. Documents of every length take part: for each label
+    and each doubling of length they are taken until they hold ``SAMPLE_BYTES``, the one
+    that crosses that included. The chosen ids are bounded, so they are sent to the texts.
     """
     known = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & (fold(id_col) != 0))
     known = known.groupBy(id_col).agg(F.max("toxic").alias("_toxic"))
-    short = docs.filter(F.octet_length(text_col) <= SAMPLE_BYTES).select(id_col).distinct()
+    sizes = docs.filter(F.col(text_col).isNotNull()).groupBy(id_col).agg(F.max(F.octet_length(text_col)).cast("long").alias("_size"))
+    sized = known.join(sizes, id_col).withColumn("_class", F.length(F.bin("_size")))
+    by_class = W.partitionBy("_toxic", "_class").orderBy(F.xxhash64(id_col), id_col)
+    first = sized.withColumn("_n", F.row_number().over(by_class)).filter(F.col("_n") <= sample)
+    before = F.sum("_size").over(by_class.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_size")
+    fitting = first.withColumn("_before", before).filter(F.col("_before") < SAMPLE_BYTES)
     order = W.partitionBy("_toxic").orderBy(F.xxhash64(id_col), id_col)
-    chosen = known.join(short, id_col, "left_semi").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
-    texts = docs.select(id_col, text_col).filter(F.octet_length(text_col) <= SAMPLE_BYTES)
+    chosen = fitting.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample).select(id_col, "_toxic")
+    texts = docs.select(id_col, text_col).filter(F.col(text_col).isNotNull())
     return texts.join(F.broadcast(chosen), id_col).dropDuplicates([id_col]).select(F.col(id_col), whole_text(text_col), F.col("_toxic").cast("int"))
 
 
 def fit_noisy_or(texts: list[str], toxic: list[int], epochs: int = EPOCHS):
-    """(weights, bias) of sentence scores under p = 1 - prod(1 - s), by Adam on the document likelihood."""
+    """(weights, bias, leak) under p = 1 - (1 - leak) prod(1 - s), by Adam on the document likelihood.
+
+    1 - s is (1 - sigmoid(z)) / (1 - sigmoid(bias)), so a sentence without any
+    weighted word scores exactly 0, and what is left to chance is one leak a document,
+    whatever its number of sentences.
+    """
     import re
     from array import array
 
@@ -72,28 +84,31 @@ def fit_noisy_or(texts: list[str], toxic: list[int], epochs: int = EPOCHS):
                 sentences += 1
                 docs.append(n)
     index, words, docs, y = np.array(index, np.int32), np.array(words, np.int32), np.array(docs, np.int32), np.array(toxic, np.int64)
-    weights, bias = np.zeros(FEATURES), -6.0
+    weights, bias, leak = np.zeros(FEATURES), -6.0, -6.0
     if not len(index) or not 0 < y.sum() < len(y):
-        return weights, bias if not len(y) or not y.all() else 0.0
+        return weights, bias, leak if not len(y) or not y.all() else 0.0
     pairs = np.unique(index.astype(np.int64) * len(y) + docs[words]) // len(y)
     used, df = np.unique(pairs, return_counts=True)
     used = used[df >= LEAST_DOCS]
     kept = np.isin(index, used)
     index, words = index[kept], words[kept]
     column = np.searchsorted(used, index).astype(np.int32)
-    w, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
-    w[-1] = bias
+    w, m, v = np.zeros(len(used) + 2), np.zeros(len(used) + 2), np.zeros(len(used) + 2)
+    w[-2:] = bias, leak
     for t in range(1, epochs + 1):
-        z = np.clip(np.bincount(words, w[column], sentences) + w[-1], -30, 30)
-        s, miss = 1 / (1 + np.exp(-z)), np.bincount(docs, np.logaddexp(0, z), len(y))
+        z = np.clip(np.bincount(words, w[column], sentences) + w[-2], -30, 30)
+        s, floor, known_leak = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-w[-2])), 1 / (1 + np.exp(-w[-1]))
+        miss = np.bincount(docs, np.logaddexp(0, z) - np.logaddexp(0, w[-2]), len(y)) + np.logaddexp(0, w[-1])
         p = np.maximum(-np.expm1(-miss), 1e-12)
-        pull = np.where(y == 1, -np.exp(-miss) / p, 1.0)[docs] * s
-        g = np.append(np.bincount(column, pull[words], len(used)), pull.sum()) / len(y) + L2 * w
+        each = np.where(y == 1, -np.exp(-miss) / p, 1.0)
+        pull = each[docs] * s
+        ends = [pull.sum() - each[docs].sum() * floor, each.sum() * known_leak]
+        g = np.append(np.bincount(column, pull[words], len(used)), ends) / len(y) + L2 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        np.maximum(w[:-1], 0, out=w[:-1])  # words only add to a sentence's score, so a long sentence doesn't hide one
-    weights[used] = w[:-1]
-    return weights, float(w[-1])
+        np.maximum(w[:-2], 0, out=w[:-2])  # words only add to a sentence's score, so a long sentence doesn't hide one
+    weights[used] = w[:-2]
+    return weights, float(w[-2]), float(w[-1])
 
 
 def fit(rows: DataFrame, id_col: str = "doc_id", epochs: int = EPOCHS):
@@ -106,9 +121,9 @@ def fit(rows: DataFrame, id_col: str = "doc_id", epochs: int = EPOCHS):
 
         got = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
         got.sort(key=lambda r: (r[0], r[1]))
-        weights, bias = fit_noisy_or([t.decode() for _, t, _ in got], [int(y > 0) for *_, y in got], epochs)
+        weights, bias, leak = fit_noisy_or([t.decode() for _, t, _ in got], [int(y > 0) for *_, y in got], epochs)
         at = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(weights[at], bias))], ["i", "w"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2]), pa.int32()), pa.array(np.append(weights[at], [bias, leak]))], ["i", "w"])
 
     found = rows.coalesce(1).mapInArrow(run, "i int, w double").toPandas()
     import numpy as np
@@ -116,8 +131,8 @@ def fit(rows: DataFrame, id_col: str = "doc_id", epochs: int = EPOCHS):
     weights = np.zeros(FEATURES, np.float32)
     kept = found[found.i >= 0]
     weights[kept.i.to_numpy()] = kept.w.to_numpy()
-    bias = found[found.i < 0].w
-    return weights, float(bias.iloc[0]) if len(bias) else -6.0
+    ends = dict(zip(found.i, found.w))
+    return weights, float(ends.get(-1, -6.0)), float(ends.get(-2, -6.0))
 
 
 def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5, column: str = "toxicity") -> DataFrame:
@@ -128,7 +143,7 @@ def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5,
     scores 0. Rows and other columns stay as they are; a column of the new one's name is
     replaced.
     """
-    weights, bias = model
+    weights, bias, leak = model
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def make():
@@ -138,6 +153,7 @@ def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5,
         import numpy as np
 
         weights, parts = sent.value, re.compile(PARTS)
+        floor = max(-math.log1p(-FLOOR), float(np.logaddexp(0, bias)))
         cut, end = parts.findall, re.compile(r"[.!?\n]")
 
         class Weight(dict):
@@ -163,8 +179,8 @@ def score(docs: DataFrame, model, text_col: str = "text", at_least: float = 0.5,
             sentence = np.cumsum(stop)[word]
             starts = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
             z = np.clip(np.add.reduceat(sums[word], starts) + bias, -30, 30)
-            p = float(-np.expm1(-np.logaddexp(0, z).sum()))
-            s = 1 / (1 + np.exp(-z))
+            miss = np.maximum(np.logaddexp(0, z) - floor, 0).sum() + np.logaddexp(0, leak)
+            p, s = float(-np.expm1(-miss)), 1 / (1 + np.exp(-z))
             hits = []
             if (s >= at_least).any():
                 places = [m.span() for m in parts.finditer(text)]

@@ -204,3 +204,25 @@ def test_spellings_keep_what_candidates_are_chosen_by():
     for given, wanted in licenses.SPELLINGS:
         assert given[: licenses.FIRST] == wanted[: licenses.FIRST]
         assert len(wanted) < licenses.FACTOR * len(given) and len(given) < licenses.FACTOR * len(wanted)
+
+
+def test_long_clean_texts_are_not_toxic(spark, monkeypatch):
+    """Thousands of clean sentences, of words seen and unseen, stay clean; one toxic sentence among them is found."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(400):
+        bad = ["vilest"] if i % 4 == 0 else []
+        rows.append((i, sentences(rng, 800 if i % 40 == 1 else rng.randint(1, 12), bad)))
+        labels.append((i, int(bool(bad))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    training = toxicity.training_rows(docs, known)
+    assert {r.doc_id for r in training.collect() if len(r[1]) > 16_384}
+    model = toxicity.fit(training)
+    unseen = ". ".join(" ".join(f"new{rng.randrange(10**6)}" for _ in range(8)) for _ in range(5000))
+    long = [(1, sentences(rng, 3000)), (2, sentences(rng, 20_000)), (3, unseen), (4, sentences(rng, 3000, ["vilest"]))]
+    got = {r.doc_id: r.toxicity.score for r in toxicity.score(spark.createDataFrame(long, "doc_id long, text string"), model).collect()}
+    assert max(got[1], got[2], got[3]) < 0.5 < got[4]
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 4000)
+    few = toxicity.training_rows(docs, known).collect()
+    assert {len(r[1]).bit_length() for r in few} == {len(r[1]).bit_length() for r in training.collect()} and len(few) < training.count()
