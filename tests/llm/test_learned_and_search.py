@@ -226,3 +226,12 @@ def test_long_clean_texts_are_not_toxic(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 4000)
     few = toxicity.training_rows(docs, known).collect()
     assert {len(r[1]).bit_length() for r in few} == {len(r[1]).bit_length() for r in training.collect()} and len(few) < training.count()
+
+
+def test_deep_nests_close_only_themselves():
+    """Text after a deep nest is still in the article, and a menu in its depth is still a menu."""
+    nest = "<div>" * 400 + "<nav>menu</nav>deep" + "</div>" * 400
+    page = dom.parse(f"<div><article><p>before</p>{nest}<p>after</p></article></div><p>outside")
+    assert html_text.blocks(page, frozenset()) == ["before", "deep", "after"]
+    a, b = dom.parse("<div>" * 3000 + "<p>x"), dom.parse("<div>" * 3000 + "<b>x")
+    assert dom.score(a, b, {}) == 3001 == len(dom.align(a, b, {}))
