@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, mixing, near_copies, toxicity
+from panelwright.llm import bpe, mixing, simhash, toxicity
 from panelwright.llm.common import table, written
 
 #: Shares of tokens that the mix aims at; no document leaves, so the scarcer domain is repeated.
@@ -17,8 +17,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word shingles of similarity 0.8 or more: that of the least id."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) link at two bits or fewer: that of the least id."""
+    return simhash.keep_one(docs, words=3, max_distance=2)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
