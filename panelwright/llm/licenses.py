@@ -9,9 +9,17 @@ from panelwright.llm.common import settled
 
 #: Runs that count as one blank (fixed values): all of ASCII but letters, digits and line ends, and common typography.
 BLANKS = "[^a-z0-9\\n\\x{80}-\\x{10FFFF}‘’“”–—•«»· ]+|[‘’“”–—•«»· ]+"
-#: What a line that states a copyright says, in lower case, and the line, behind any comment marks.
+#: What a line that states a copyright says, in lower case.
 SAYS = ("copyright", "(c)", "©", "all rights reserved")
-COPYRIGHT = "(^|\\n)[ \\t#*/;!<>-]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*"
+#: Words behind "copyright" that speak of one and do not state it, so that wrapped licence texts keep their lines.
+SPEAKS = "notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|in|of|to|is|are|act"
+#: Marks that may stand before a line, and the line that states a copyright: by a sign, a year or a name in capitals.
+MARKS = "[ \\t#*/;!<>-]*"
+COPYRIGHT = (
+    f"(^|\\n){MARKS}(?:(?:(?i:copyright)[ \\t:]*)?(?:\\((?i:c)\\)|©)|(?i:copyright)[ \\t:]+(?i:by )?(?:[0-9<\\[{{]|(?!(?i:{SPEAKS})\\b)\\p{{Lu}})|(?i:all rights reserved))[^\\n]*"
+)
+#: A number, letter or sign that marks an item of a list, at the beginning of a line or behind a sentence.
+ITEM = f"(^|\\n|[:;.,] ){MARKS}\\(?(?:[0-9]{{1,2}}|[a-z]|i{{2,3}})[.)][ \\t]+"
 #: A spelling changes the length of a text by less than this factor, and never the first letters of a word.
 FACTOR, FIRST = 1.5, 2
 #: Equivalent spellings (fixed values), as they stand after blanks have replaced punctuation.
@@ -29,14 +37,35 @@ ISC_WARRANTY = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WA
 BSD_TOP = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
 BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
 BSD_WARRANTY = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
-#: Published licence texts and the usual notices that name one (fixed values): identifier, text.
-KNOWN = (
+#: Published licence texts (fixed values): identifier, text.
+TEXTS = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n" + NO_WARRANTY),
-    ("MIT", "MIT License\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n" + NO_WARRANTY),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n" + ISC_WARRANTY),
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n" + ISC_WARRANTY),
     ("BSD-2-Clause", BSD_TOP + BSD_WARRANTY),
     ("BSD-3-Clause", BSD_TOP + BSD_THIRD + BSD_WARRANTY),
+    ("MIT-0", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.\n" + NO_WARRANTY),
+    ("BSD-1-Clause", BSD_TOP[: BSD_TOP.index("2. ")] + BSD_WARRANTY),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n3. This notice may not be removed or altered from any source distribution."),
+    ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:\nThe copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\nhttp://www.apache.org/licenses/LICENSE-2.0\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.\nYou should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+)
+#: Titles under which those texts are published (fixed values), by identifier.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"),
+    "BSD-1-Clause": ("BSD 1-Clause License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License 1.0"),
+}
+#: Those texts with and without their titles, and the usual notices that name a licence (fixed values): identifier, text.
+KNOWN = (
+    *TEXTS, *((name, f"{title}\n{text}") for name, text in TEXTS for title in TITLES.get(name, ())),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
@@ -46,12 +75,13 @@ KNOWN = (
 
 
 def plain(text: Column) -> Column:
-    """Lower case, without copyright lines, runs of punctuation and blanks as one blank; line ends stay."""
+    """Lower case, without copyright lines and marks of lists, runs of punctuation and blanks as one blank; line ends stay."""
     low = F.lower(text)
     says = low.contains(SAYS[0])
     for word in SAYS[1:]:
         says = says | low.contains(word)
-    return F.regexp_replace(F.when(says, F.regexp_replace(low, COPYRIGHT, "$1")).otherwise(low), BLANKS, " ")
+    stated = F.when(says, F.lower(F.regexp_replace(text, COPYRIGHT, "$1"))).otherwise(low)
+    return F.regexp_replace(F.regexp_replace(stated, ITEM, "$1"), BLANKS, " ")
 
 
 def spelled(one_line: Column) -> Column:
@@ -104,7 +134,7 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
         return F.left(form, F.lit(FIRST)).isin(sorted(known_by)) & F.length(form).between(lo / FACTOR, hi * FACTOR)
 
     forms = docs.select(F.col(id_col), plain(F.coalesce(text_col, F.lit(""))).alias("_plain"))
-    forms = forms.select(id_col, joined(F.col("_plain")).alias("_whole"), F.filter(F.transform(F.split("_plain", "\n"), F.trim), fits).alias("_lines"))
+    forms = forms.select(id_col, joined(F.col("_plain")).alias("_whole"), F.filter(F.transform(F.split("_plain", "\n"), lambda line: F.trim(line)), fits).alias("_lines"))
     # Digests of candidates only: small, and read by both lookups.
     found = settled(forms.select(
         id_col, F.when(fits(F.col("_whole")), F.sha2(spelled(F.col("_whole")), 256)).alias("digest"),
@@ -132,7 +162,20 @@ def _quoted(text: str) -> str:
 
 
 def _sql_plain(text: str) -> str:
-    return f"regexp_replace(regexp_replace(lower({text}), {_quoted(COPYRIGHT)}, '\\1', 'g'), {_quoted(BLANKS)}, ' ', 'g')"
+    """The plain form line by line and with string functions, so that it is not the pattern of ``plain`` again."""
+    marks = "' ' || chr(9) || '#*/;!<>-'"
+    body = f"ltrim(line, {marks})"
+    rest = f"substr({body}, 10)"
+    named = f"ltrim({rest}, ' ' || chr(9) || ':')"
+    by = f"CASE WHEN starts_with(lower({named}), 'by ') THEN substr({named}, 4) ELSE {named} END"
+    spoken = f"regexp_extract(lower({by}), '^[a-z]*')"
+    states = (
+        f"(starts_with(lower({body}), '(c)') OR starts_with({body}, '©') OR starts_with(lower({body}), 'all rights reserved') OR starts_with(lower({body}), 'copyright') AND ("
+        f"starts_with(lower({named}), '(c)') OR starts_with({named}, '©') OR {named} <> {rest} AND ("
+        f"substr({by}, 1, 1) IN ('0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '<', '[', '{{') OR regexp_matches({by}, '^\\p{{Lu}}') AND NOT regexp_full_match({spoken}, {_quoted(SPEAKS)}))))"
+    )
+    kept = f"lower(array_to_string(list_transform(string_split({text}, chr(10)), lambda line: CASE WHEN {states} THEN '' ELSE line END), chr(10)))"
+    return f"regexp_replace(regexp_replace({kept}, {_quoted(ITEM)}, '\\1', 'g'), {_quoted(BLANKS)}, ' ', 'g')"
 
 
 def _sql_digest(plain_text: str) -> str:

@@ -1,6 +1,7 @@
 """Toxicity, mixing, top-k search, page text, licences and the pipeline."""
 
 import random
+import textwrap
 
 import pytest
 
@@ -179,6 +180,36 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), licenses.known_digests(spark)).count() == 0
 
 
+ISC_BODY, BSD_BODY = (next(t for n, t in licenses.TEXTS if n == name) for name in ("ISC", "BSD-3-Clause"))
+
+
+def test_published_forms_of_licenses(spark):
+    """Wrapped bodies keep lines that begin with "copyright", titles and list marks fold, notices match behind blanks and marks."""
+    wrapped = textwrap.fill(ISC_BODY, 60).replace(" copyright", "\ncopyright")
+    stars = BSD_BODY.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    mit = licenses.TEXTS[0][1]
+    cases = [
+        ("ISC", wrapped), ("BSD-3-Clause", "\n".join(textwrap.fill(p, 70).replace(" copyright", "\ncopyright") for p in BSD_BODY.split("\n"))), ("BSD-3-Clause", stars),
+        ("ISC", f"ISC License\n\nCopyright (c) 2004-2010 by A. Body\n\n{wrapped}"), ("MIT", f"The MIT License (MIT)\n\n  Copyright Jane Roe\n{mit}"),
+        ("ISC", ISC_BODY), ("BSD-3-Clause", BSD_BODY.replace("1. ", "(1) ").replace("2. ", "b) ").replace("\n", " ")),
+        ("", "ISC License\nCopyright holders may say this."), ("MIT", "© 2020 Ürsula\n" + mit), ("MIT", "COPYRIGHT: 2020 x\ncopyright (C) y\n" + mit),
+        ("", "Copyright notice\n" + mit), ("MIT", "Copyright Émile\nCopyright by Jane\n" + mit),
+    ]
+    notices = ["# SPDX-License-Identifier: MIT", "a\nb\n   Released under the MIT License.", "a\nb\nThis work is licensed under the GNU General Public License, version 3"]
+    rows = [(i, t) for i, t in enumerate([t for _, t in cases] + notices)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, licenses.known_digests(spark)).collect()}
+    assert [got[i].license or "" for i in range(len(cases))] == [name for name, _ in cases]
+    assert [got[len(cases) + i].notices for i in range(3)] == [["MIT"], ["MIT"], ["GPL-3.0"]]
+    import duckdb
+    import pandas as pd
+
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    want = {r[0]: r[1:] for r in db.execute(licenses.SQL).fetchall()}
+    assert {i: (r.license, ",".join(r.notices), r.n_notices) for i, r in got.items()} == want
+
+
 @pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
 def test_query_equals_sql(spark, name):
     from check import compare, database
