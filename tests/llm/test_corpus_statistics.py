@@ -10,7 +10,7 @@ import pytest
 
 pytest.importorskip("panelwright.llm.queries")
 
-from panelwright.llm import resample  # noqa: E402
+from panelwright.llm import phrases, resample  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,3 +89,51 @@ def test_resampling_query(spark):
     target = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     got = resample.query(spark, SF)
     assert sorted(map(tuple, got.collect()), key=repr) == plain_draw([(r.doc_id, r.text) for r in docs], target)
+
+
+def plain_phrases(rows, top, least=30, cover=80):
+    """By the contract, over all phrases."""
+    counts, total = {}, {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text)):
+            words = re.findall("[^ \t]+", piece)
+            total[lang] = total.get(lang, 0) + len(words)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    key = (lang, tuple(words[i : i + k]))
+                    counts[key] = counts.get(key, 0) + 1
+    held, best = {}, {}
+    for (lang, g), a in counts.items():
+        if len(g) > 1 and a >= least:
+            cuts = [(2_000_000 * a // (counts[lang, g[:k]] + counts[lang, g[k:]]), k) for k in range(1, len(g))]
+            best[lang, g] = (*min(cuts), a)
+            for k in range(2, len(g)):
+                for i in range(len(g) - k + 1):
+                    held[lang, g[i : i + k]] = max(held.get((lang, g[i : i + k]), 0), a)
+    out = []
+    for lang in total:
+        kept = [(-s, -a, " ".join(g).encode(), g, k) for (x, g), (s, k, a) in best.items() if x == lang and 100 * held.get((x, g), 0) < cover * a]
+        for rank, (s, a, name, g, k) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, name.decode(), -a, counts[lang, g[:k]], counts[lang, g[k:]], total[lang], -s))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("top, least, block, bits", [(2000, 3, 1 << 23, 1 << 25), (7, 3, 200, 1 << 16), (25, 2, 64, 256), (1, 4, 999, 1 << 16)])
+def test_phrases_equal_the_plain_version(spark, monkeypatch, top, least, block, bits):
+    """Also with few rows wanted, so that languages need several rounds, tiny blocks, so that texts are cut, and sets that collide."""
+    monkeypatch.setattr(phrases, "BLOCK", block)
+    monkeypatch.setattr(phrases, "SET_BITS", bits)
+    rng = random.Random(top)
+    stock = ["New York City", "in spite of", "as well as the", "ad hoc", "Ünder\tÄll odds", "to be or", "x\x00y \x1cz"]
+    rows = [(None, None), ("", ""), ("en", " .,; \n"), ("en", "ad hoc " * 40), ("de", "a"), ("en", "A a a a a a"), ("fr", "ça va. " * 30)]
+    for i in range(120):
+        words = [rng.choice(stock) if rng.random() < 0.4 else f"w{min(int(rng.expovariate(0.3)), 40)}" for _ in range(rng.randint(1, 60))]
+        rows.append((rng.choice(["en", "en", "de", None, ""]), "".join(w + rng.choice([" ", " ", " ", "  ", ", ", ".", "\n", "\u00a0 "]) for w in words)))
+    docs = documents(spark, [(i, t, lang) for i, (lang, t) in enumerate(rows)], phrase="x", n=3, mark=1)
+    got = phrases.collocations(docs, top=top, least=least)
+    assert sorted(map(tuple, got.collect())) == plain_phrases(rows, top, least)
+
+
+def test_phrases_of_an_empty_table(spark):
+    assert phrases.collocations(documents(spark, []).limit(0)).count() == 0
