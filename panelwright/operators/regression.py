@@ -10,10 +10,10 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.operators.joins import null_safe_join
+from panelwright.operators.ordered import with_previous
 
 
 def log_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -234,14 +234,13 @@ def ols_diagnostics(
 ) -> DataFrame:
     """Durbin-Watson, skew, kurtosis, normality tests and condition number per model.
 
-    ``df`` is a panel: one row per group and date, so a model's ordered window is as
-    long as the calendar.
+    ``df`` is a panel: one row per group and date. The residual before each one is carried
+    over slices of the dates, so one long series is spread over all tasks.
     """
     keys = [*by, "series"]
-    resid = residuals(df, models, y, x, order, by, log)
-    step = F.col("resid") - F.lag("resid").over(W.partitionBy(*keys).orderBy(order))
+    resid = with_previous(residuals(df, models, y, x, order, by, log), {"_before": "resid"}, order, keys)
     moments = (
-        resid.withColumn("_step", step)
+        resid.withColumn("_step", F.col("resid") - F.col("_before"))
         .groupBy(*keys)
         .agg(
             F.count("resid").alias("n"),

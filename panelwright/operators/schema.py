@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions.codes import safe_name, yq_from_name, yq_from_per
 from panelwright.functions.text import BOM
-from panelwright.operators.joins import join_lookup, null_safe_join
+from panelwright.operators.joins import join_lookup
+from panelwright.operators.ordered import number_in_group
 from panelwright.operators.reshape import concat
 
 # The metadata columns that open every microdata table.
@@ -131,27 +131,8 @@ def header_group_files(manifest: DataFrame) -> DataFrame:
     return concat([good.withColumn("error", F.lit(None).cast("string")), bad])
 
 
-def number_in_group(df: DataFrame, keys: Sequence[str], by: str, out: str = "n") -> DataFrame:
-    """1, 2, 3, ... within each group, in the order of a hash of ``by`` (unique in its group).
-
-    A group is cut into slices by leading hash digits, slice sizes are summed, and rows
-    are numbered inside their slice, so no task has to order a whole frequent group.
-    """
-    keys = list(keys)
-    hashed = df.withColumn("_h", F.md5(F.col(by).cast("string"))).withColumn("_slice", F.substring("_h", 1, 3))
-    sizes = hashed.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
-    # At most 4096 slices per group reach this window.
-    before = F.sum("_m").over(W.partitionBy(*keys).orderBy("_slice")) - F.col("_m")
-    starts = sizes.select(*keys, "_slice", before.alias("_before"))
-    inside = F.row_number().over(W.partitionBy(*keys, "_slice").orderBy("_h", by))
-    numbered = null_safe_join(hashed.withColumn("_k", inside), starts, [*keys, "_slice"])
-    return numbered.withColumn(out, (F.col("_before") + F.col("_k")).cast("long")).drop(
-        "_h", "_slice", "_k", "_before"
-    )
-
-
 def unique_names(manifest: DataFrame, path: str, stem: str, tag: str, suffix: str | Column = ".csv") -> DataFrame:
-    """Collision-free names: ``stem__tag.csv``, then ``stem__tag__2.csv``, ``__3`` and so on."""
+    """Collision-free names: ``stem__tag.csv``, then ``stem__tag__2.csv``, ``__3`` and so on, in the order of paths."""
     end = F.lit(suffix) if isinstance(suffix, str) else suffix
     # A missing stem or tag counts as empty: the row keeps a name.
     blank = F.lit("")

@@ -1,8 +1,8 @@
 """Operators on time series.
 
-They take panels: one row per date (and series). Group large inputs to date grain
-first; a series then has as many rows as the calendar has periods, which bounds
-every window here.
+They take panels: one row per date (and series). None of them orders a whole series in
+one task: earlier rows are joined on by date, first rows and peaks are aggregates, and
+the row before is carried over slices of the dates.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.text import metric_like
 from panelwright.operators.joins import join_lookup, keep_first, null_safe_join
+from panelwright.operators.ordered import with_previous
 
 
 def _month_index(date: str) -> Column:
@@ -24,22 +25,24 @@ def _month_index(date: str) -> Column:
 def yoy(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequence[str] = (), months: int = 12) -> DataFrame:
     """Growth on the observation exactly ``months`` earlier; rows without one, or without a date, are dropped.
 
-    The lag is by date, not by row, so gaps in the series cannot shift it.
+    The earlier observation is joined on by month, so gaps in the series cannot shift it
+    and no task orders a series. Of several rows of a month the latest counts as earlier.
     """
-    w = W.partitionBy(*by).orderBy("_m").rangeBetween(-months, -months)
-    lagged = df.withColumn("_m", _month_index(date)).withColumn("_has", F.count(F.lit(1)).over(w))
-    for c in cols:
-        lagged = lagged.withColumn(f"_{c}", F.last(c).over(w))
-    growth = [(F.try_divide(F.col(c), F.col(f"_{c}")) - 1).alias(f"{c}_yoy") for c in cols]
-    return lagged.filter("_m is not null and _has > 0").select(*by, date, *growth)
+    cols, by = list(cols), list(by)
+    dated = df.filter(F.col(date).isNotNull()).withColumn("_m", _month_index(date))
+    month = dated.groupBy(*by, "_m").agg(F.max_by(F.struct(*[F.col(c).alias(f"_{c}") for c in cols]), date).alias("_then"))
+    both = null_safe_join(dated, month.withColumn("_m", F.col("_m") + months), [*by, "_m"])
+    growth = [(F.try_divide(F.col(c), F.col("_then")[f"_{c}"]) - 1).alias(f"{c}_yoy") for c in cols]
+    return both.select(*by, date, *growth)
 
 
 def base100(df: DataFrame, cols: Sequence[str], date: str = "fecha", by: Sequence[str] = ()) -> DataFrame:
     """Index with the first observation of each series at 100."""
-    w = W.partitionBy(*by).orderBy(date)
-    return df.select(
-        *by, date, *[F.try_divide(F.lit(100.0) * F.col(c), F.first(c).over(w)).alias(f"{c}_idx") for c in cols]
-    )
+    # An aggregate of the first row, so that a long series is not gathered in one task.
+    by = list(by)
+    first = F.min_by(F.struct(*[F.col(c).alias(f"_{c}") for c in cols]), date)
+    based = null_safe_join(df, df.groupBy(*by).agg(first.alias("_first")), by) if by else df.withColumn("_first", df.agg(first).scalar())
+    return based.select(*by, date, *[F.try_divide(F.lit(100.0) * F.col(c), F.col("_first")[f"_{c}"]).alias(f"{c}_idx") for c in cols])
 
 
 def pct_of_max(df: DataFrame, col: str, by: Sequence[str], out: str = "pct_of_max") -> DataFrame:
@@ -108,5 +111,5 @@ def add_deflated(rows: DataFrame, price_rows: DataFrame, metric: str = REAL_METR
 
 def gap_days(df: DataFrame, date: str, by: Sequence[str] = (), out: str = "gap_days") -> DataFrame:
     """Days since the previous observation of the series."""
-    w = W.partitionBy(*by).orderBy(date)
-    return df.withColumn(out, F.date_diff(F.col(date), F.lag(date).over(w)))
+    before = with_previous(df, {"_previous": date}, date, by)
+    return before.withColumn(out, F.date_diff(F.col(date), F.col("_previous"))).drop("_previous")

@@ -137,6 +137,6 @@ QUERIES = {
     "unique_names": (
         _unique,
         """SELECT doc_id, source || '_a_o__' || lang || CASE WHEN k > 1 THEN '__' || k ELSE '' END || '.csv' AS name FROM (
-        SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS k FROM documents)""",
+        SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS k FROM documents)""",
     ),
 }
