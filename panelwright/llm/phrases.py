@@ -18,7 +18,7 @@ AHEAD, FACTOR, ROUNDS = 2, 8, 2
 #: Bits of a set of phrases that tasks look up: its size never grows, more phrases only let more of the others through.
 SET_BITS = 1 << 25
 #: Bytes of text whose phrases are counted together.
-BLOCK = 1 << 23
+BLOCK = 1 << 24
 #: A-Z in lower case, a tab as a blank, ends of pieces as line ends.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
@@ -49,30 +49,39 @@ class _Runs:
         self.spaced = [b" " + w for w in self.words]
         self.sums = list(map(crc32, self.words, repeat(crc32(language + b"\t"))))
 
-    def level(self, left, names, sums, usable, k: int):
+    def level(self, left, usable, k: int):
         """Runs of ``k`` words made of a run of ``k - 1`` at ``left`` and the next word, where ``usable``.
 
-        Gives numbers by place (-1 for none), the number of each run's first part, its name
-        and checksum, and one of its places.
+        Gives numbers by place (-1 for none), and of each run the number of its first part,
+        its last word and one of its places.
         """
         import numpy as np
 
-        n, size = max(0, len(self.places) - k + 1), max(1, len(self.words))
-        here = np.flatnonzero(usable[:n] & (left[:n] >= 0) & (self.places[k - 1 :][:n] >= 0))
-        keys, first, inverse = np.unique(left[here] * size + self.places[here + k - 1], return_index=True, return_inverse=True)
-        numbers = np.full(len(self.places), -1, np.int64)
-        numbers[here] = inverse
-        part, last = keys // size, keys % size
-        add = [self.spaced[i] for i in last.tolist()]
-        parts = part.tolist()
-        return numbers, part, [names[i] + w for i, w in zip(parts, add)], list(map(crc32, add, [sums[i] for i in parts])), here[first] if len(keys) else keys
-
-    def counts(self, numbers, size: int, k: int):
-        """Occurrences of each of ``size`` runs of ``k`` words that were not counted before."""
+        here = np.flatnonzero(usable[: max(0, len(self.places) - k + 1)])
+        size = max(1, len(self.words))
+        keys, inverse = np.unique(left[here] * size + self.places[here + k - 1], return_inverse=True)
+        numbers, place = np.full(len(self.places), -1, np.int64), np.zeros(len(keys), np.int64)
+        numbers[here], place[inverse] = inverse, here
+        return numbers, keys // size, keys % size, place
+
+    def sums_of(self, part, last, sums: list[int]) -> list[int]:
+        """Checksums of runs, from those of their first parts."""
+        return list(map(crc32, map(self.spaced.__getitem__, last.tolist()), map(sums.__getitem__, part.tolist())))
+
+    def names_at(self, places, k: int) -> list[bytes]:
+        """The runs of ``k`` words at some places."""
+        columns = [map(self.words.__getitem__, self.places[places].tolist())]
+        columns += [map(self.spaced.__getitem__, self.places[places + j].tolist()) for j in range(1, k)]
+        return list(map(b"".join, zip(*columns)))
+
+    def emitted(self, numbers, place, k: int, chosen=None):
+        """(names, occurrences not counted before) of the runs of a level, or of the chosen ones of them."""
         import numpy as np
 
         fresh = numbers[max(0, self.skip - k + 1) :]
-        return np.bincount(fresh[fresh >= 0], minlength=size)
+        counts = np.bincount(fresh[fresh >= 0], minlength=len(place))
+        some = np.flatnonzero(counts > 0 if chosen is None else (counts > 0) & chosen)
+        return self.names_at(place[some], k), counts[some]
 
 
 def _is_in(bits, sums):
@@ -83,64 +92,71 @@ def _is_in(bits, sums):
     return np.append((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool), False)
 
 
-def _count_words(runs: _Runs, sets: dict) -> list:
-    return [(runs.words, runs.counts(runs.places, len(runs.words), 1), slice(None))]
+def _next(flags):
+    """The flag of the place after each one."""
+    import numpy as np
+
+    return np.append(flags[1:], False)
 
 
-def _pairs(runs: _Runs, often):
+def _count_words(runs: _Runs, sets: dict) -> list:
     import numpy as np
 
-    left = np.where(_is_in(often, runs.sums)[runs.places], runs.places, -1)
-    return runs.level(left, runs.words, runs.sums, np.append(left[1:] >= 0, False), 2)
+    counts = np.bincount(runs.places[runs.skip :][runs.places[runs.skip :] >= 0], minlength=len(runs.words))
+    some = np.flatnonzero(counts)
+    return [([runs.words[i] for i in some.tolist()], counts[some])]
 
 
 def _count_pairs(runs: _Runs, sets: dict) -> list:
-    numbers, _, names, _, _ = _pairs(runs, sets["words"])
-    return [(names, runs.counts(numbers, len(names), 2), slice(None))]
+    import numpy as np
+
+    often = _is_in(sets["words"], runs.sums)[runs.places]
+    here = np.flatnonzero((often & _next(often))[: len(runs.places) - 1])
+    here, size = here[here >= runs.skip - 1], max(1, len(runs.words))
+    keys, counts = np.unique(runs.places[here] * size + runs.places[here + 1], return_counts=True)
+    first, second = map(runs.words.__getitem__, (keys // size).tolist()), map(runs.spaced.__getitem__, (keys % size).tolist())
+    return [(list(map(bytes.__add__, first, second)), counts)]
 
 
-def _triples(runs: _Runs, sets: dict):
+def _frequent_pairs(runs: _Runs, sets: dict):
+    """Numbers of frequent pairs by place (-1 for none), and the checksums of all pairs."""
     import numpy as np
 
-    pairs, _, names, sums, _ = _pairs(runs, sets["words"])
-    often = _is_in(sets["pairs"], sums)
-    left = np.where(often[pairs], pairs, -1)
-    return sums, left, runs.level(left, names, sums, np.append(left[1:] >= 0, False), 3)
+    often = _is_in(sets["words"], runs.sums)[runs.places]
+    pairs, part, last, _ = runs.level(runs.places, often & _next(often), 2)
+    sums = runs.sums_of(part, last, runs.sums)
+    return np.where(_is_in(sets["pairs"], sums)[pairs], pairs, -1), sums
 
 
 def _count_longer(runs: _Runs, sets: dict) -> list:
     """Runs of three words that grow from an open pair or may cover a contender, and runs of four from an open pair at their first or second word."""
-    import numpy as np
-
-    sums, pairs, (triples, part, names, sums3, first) = _triples(runs, sets)
-    is_open, contends = _is_in(sets["open"], sums), _is_in(sets["contenders"], sums)
-    wanted3 = np.flatnonzero(is_open[part] | contends[pairs[first + 1]]) if len(first) else first
-    opened = is_open[pairs]
-    usable = np.append(triples[1:] >= 0, False) & (opened | np.append(opened[1:], False))
-    fours, _, names4, _, _ = runs.level(triples, names, sums3, usable, 4)
-    return [(names, runs.counts(triples, len(names), 3), wanted3), (names4, runs.counts(fours, len(names4), 4), slice(None))]
+    pairs, sums = _frequent_pairs(runs, sets)
+    opened, contends = _is_in(sets["open"], sums)[pairs], _is_in(sets["contenders"], sums)[pairs]
+    both = (pairs >= 0) & _next(pairs >= 0)
+    grown = opened | _next(contends)
+    triples, _, _, place = runs.level(pairs, both & (grown | _next(opened)), 3)
+    fours, _, _, place4 = runs.level(triples, (triples >= 0) & _next(both) & (opened | _next(opened)), 4)
+    return [runs.emitted(triples, place, 3, grown[place]), runs.emitted(fours, place4, 4)]
 
 
 def _count_wanted(runs: _Runs, sets: dict) -> list:
-    import numpy as np
-
-    _, _, (triples, _, names, sums, _) = _triples(runs, sets)
-    return [(names, runs.counts(triples, len(names), 3), np.flatnonzero(_is_in(sets["wanted"], sums)[:-1]))]
+    pairs, sums = _frequent_pairs(runs, sets)
+    heads = _is_in(sets["heads"], sums)[pairs]
+    triples, part, last, place = runs.level(pairs, heads & _next(pairs >= 0), 3)
+    return [runs.emitted(triples, place, 3, _is_in(sets["wanted"], runs.sums_of(part, last, sums))[:-1])]
 
 
 def _counter(count, sets: dict):
     def make():
         import numpy as np
+        import pyarrow as pa
 
         held: dict[bytes, list[bytes]] = {}
         size, bits = 0, {name: np.frombuffer(sent.value, np.uint8) for name, sent in sets.items()}
 
-        def rows(language: bytes, texts: list[bytes], skip: int = 0):
-            for names, counts, chosen in count(_Runs(language, texts, skip), bits):
-                some = np.flatnonzero(counts)
-                if not isinstance(chosen, slice):
-                    some = np.intersect1d(some, chosen)
-                yield from ((language, names[i], n) for i, n in zip(some.tolist(), counts[some].tolist()))
+        def rows(language: bytes, texts: list[bytes], skip: int = 0) -> list:
+            found = [x for x in count(_Runs(language, texts, skip), bits) if len(x[0])]
+            return [(pa.repeat(pa.scalar(language.decode()), len(names)), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts)) for names, counts in found]
 
         def flush() -> list:
             nonlocal size
@@ -160,6 +176,9 @@ def _counter(count, sets: dict):
                 lead, a = [w for w in part.replace(b"\n", b" \n ").split(b" ") if w][-(LONGEST - 1) :], b
             return found
 
+        def joined(found: list) -> list:
+            return [pa.concat_arrays(c) for c in zip(*found)] or [[], [], []]
+
         def step(languages, texts):
             nonlocal size
             found = []
@@ -172,9 +191,9 @@ def _counter(count, sets: dict):
                 size += len(text)
                 if size >= BLOCK:
                     found += flush()
-            return list(zip(*found)) or [[], [], []]
+            return joined(found)
 
-        step.end = lambda: list(zip(*flush())) or [[], [], []]
+        step.end = lambda: joined(flush())
         return step
 
     return make
@@ -281,7 +300,7 @@ def collocations(
         unsure = scored(four, known).join(marks, "lang").filter("not sure and score >= mark")
         rests = written(unsure.select("lang", F.substring_index("phrase", " ", -3).alias("phrase")).distinct())
         if not rests.isEmpty():
-            found = _counted(docs, _count_wanted, sets | {"wanted": _set(rests)}, least)
+            found = _counted(docs, _count_wanted, sets | {"wanted": _set(rests), "heads": _set(rests.select("lang", F.substring_index("phrase", " ", 2).alias("phrase")))}, least)
             known = known.unionByName(found.join(rests, ["lang", "phrase"], "left_semi"))
         reaching = scored(longer, known).unionByName(bounded.select("lang", "phrase", "a", "l", "r", "score", F.lit(True).alias("sure")))
         reaching = reaching.join(marks, "lang").filter("score >= mark")
