@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelwright.llm import bpe, chat, fingerprint, html_text, licenses, mixing, phrases, resample, simhash, token_counts, topk, toxicity
+from panelwright.llm import bpe, chat, fingerprint, html_text, licenses, mixing, personal, phrases, resample, simhash, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_mixing_rates": (mixing.query, None),
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_improbable_features": (fingerprint.query, None),
     "op10_license_digests": (licenses.query, licenses.SQL),
     "op11_phrase_collocations": (phrases.query, phrases.SQL),
+    "op12_personal_data": (personal.query, None),
     "op13_target_resampling": (resample.query, None),
 }

@@ -10,7 +10,7 @@ import pytest
 
 pytest.importorskip("panelwright.llm.queries")
 
-from panelwright.llm import phrases, resample  # noqa: E402
+from panelwright.llm import personal, phrases, resample  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -137,3 +137,72 @@ def test_phrases_equal_the_plain_version(spark, monkeypatch, top, least, block,
 
 def test_phrases_of_an_empty_table(spark):
     assert phrases.collocations(documents(spark, []).limit(0)).count() == 0
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_luhn(digits):
+    each = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(v - 9 if v > 9 else v for v in each) % 10 == 0
+
+
+def plain_spans(text):
+    """By the contract."""
+    found = []
+    for k, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 14 <= len(digits) <= 19 and plain_luhn(digits), "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((m.start(), k, m.end()))
+    return [f"{list(BASE)[k]}:{a}:{b}" for a, k, b in sorted(found)]
+
+
+def test_base_spans_equal_the_plain_version(spark):
+    rng = random.Random(12)
+    parts = ["a@b.c", "x.y_z%+-@h-o.co.uk", "@", "..", "1.2.3.4", "255.0256.1.1", "300.1.1.1.1", "1.2.3.4.5", "4785380592391139", "4785 3805-9239 1139", "+1 (743) 555-3824", "+12-", "+491701234567 ", "7" * 30,
+             "é", "\U0001f600", " ", "-", "+", "(", "_", "a", "0", "\n", "tel ", "a@b.c_x@d.e", "x@y@z.w.v", "00049", "5555-5555-5555-4444"]
+    texts = [None, "", "a" * 9_000, "a." * 4_000 + "@", "a@b" + ".c" * 60_000, "1" * 9_000, "1." * 9_000, "+1" + "(" * 9_000, *parts] + ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(400)]
+    rows = [*enumerate(texts), (9, texts[20]), (None, texts[30]), (None, texts[30])]
+    docs = documents(spark, [(i, t, "x") for i, t in rows], base=1, kind=2, spans="x", start=1)
+    got = personal.personal_data(docs)
+    listed = [(r.doc_id, [f"{s.kind}:{s.start}:{s.end}" for s in r.spans if s.base]) for r in got.collect()]
+    assert sorted(listed, key=repr) == sorted([(i, plain_spans(t)) for i, t in rows], key=repr)
+    assert personal.personal_data(docs.limit(0)).count() == 0
+
+
+def test_trees_add_what_looks_alike(spark):
+    """Numbers without a plus, bracketed dots and spelled addresses are found by what plain ones look like; other numbers are left alone."""
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    texts = []
+    for i in range(600):
+        phone, mail = f"+1 ({number(3)}) 555-{number(4)}", f"jo.{number(2)}@mail{number(1)}.example.com"
+        host = ".".join(str(rng.randint(1, 255)) for _ in range(4))
+        texts.append(rng.choice(["Call {} or write to {} from {} now", "So {} and {} with {} there", "Ask ({}), mail {}, server {}."]).format(phone, mail, host))
+        texts.append(f"Order {number(4)}-{number(4)}-{number(4)} of version {number(3)}.{number(3)}.9{number(2)}.{number(3)} took {number(3)} {number(3)}.{number(3)} hours, mail x @ y.9z")
+    hidden = ["Call (212) 555-0199 please", "Call jo [at] mail [dot] example [dot] com please", "It came from 10[.]20[.]30[.]40 last night"]
+    docs = spark.createDataFrame(list(enumerate(texts + hidden)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in personal.personal_data(docs).collect()}
+    added = [[(s.kind, hidden[i][s.start : s.end]) for s in found[len(texts) + i]] for i in range(3)]
+    assert added == [[("phone", "(212) 555-0199")], [("email", "jo [at] mail [dot] example [dot] com")], [("ip", "10[.]20[.]30[.]40")]]
+    assert not any(s for i in range(1, 1200, 2) for s in found[i])
+    assert all([s.kind for s in found[i]] == ["phone", "email", "ip"] for i in range(0, 1200, 2))
+    clean = {r.doc_id: r.text for r in personal.redacted(docs.filter(f"doc_id in (0, 1) or doc_id >= {len(texts)}").unionByName(docs.filter("doc_id between 2 and 1199"))).collect()}
+    assert clean[len(texts)] == "Call [phone] please" and "[phone]" in clean[0] and "[email]" in clean[0] and "[ip]" in clean[0] and clean[1] == texts[1]
+
+
+def test_personal_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in personal.query(spark, SF).collect():
+        want = plain_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k) for s in want) for k in BASE]
+        assert set(want) <= set(r.spans.split(",") if r.spans else []) and r.n_added == len(r.spans.split(",") if r.spans else []) - len(want)
