@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,16 +56,34 @@ def _accent_tables() -> tuple[str, str, dict[str, str]]:
 _ACCENTED, _PLAIN, _LONGER = _accent_tables()
 
 
+def _ranges(chars: Iterable[str]) -> str:
+    """Characters as the inside of a class, neighbours as one range."""
+    points = sorted(map(ord, chars))
+    ends = [p for p in points if p + 1 not in _LONGER_POINTS]
+    starts = [p for p in points if p - 1 not in _LONGER_POINTS]
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends))
+
+
+_LONGER_POINTS = frozenset(map(ord, _LONGER))
+# The look-ahead passes over ASCII at once, before any range is tried.
+_COMPOUND = rf"(?=[^\x00-\x7F])[{_ranges(_LONGER)}]"
+
+
 def strip_accents(c: Column | str) -> Column:
-    """Accents go, ligatures and other compound characters are taken apart; every other non-ASCII character goes."""
+    """Accents go, ligatures and other compound characters are taken apart; every other non-ASCII character goes.
+
+    Characters that stand for one letter are translated. Only a text with something left
+    is searched for compound characters, and each distinct one it holds is replaced once.
+    """
+    def plain(single: Column) -> Column:
+        table = F.create_map(*[F.lit(x) for pair in _LONGER.items() for x in pair])
+        found = F.array_distinct(F.regexp_extract_all(single, F.lit(_COMPOUND), F.lit(0)))
+        apart = F.aggregate(found, single, lambda text, ch: F.replace(text, ch, F.element_at(table, ch)))
+        return F.when(F.length(single) == F.octet_length(single), single).otherwise(F.regexp_replace(apart, r"[^\x00-\x7F]", ""))
+
     c = _col(c)
-    single = F.translate(c, _ACCENTED, _PLAIN)
-    # Characters that stand for several are rare: only texts with one are taken apart.
-    table = F.create_map(*[F.lit(x) for pair in _LONGER.items() for x in pair])
-    apart = F.array_join(F.transform(F.split(single, "(?!^)"), lambda ch: F.when(ch <= "\x7f", ch).otherwise(F.coalesce(F.try_element_at(table, ch), F.lit("")))), "")
-    letters = "[" + "".join(_LONGER) + "]"
-    plain = F.when(single.rlike(letters), apart).otherwise(F.regexp_replace(single, r"[^\x00-\x7F]", ""))
-    return F.when(F.length(c) == F.octet_length(c), c).otherwise(plain)
+    folded = F.get(F.transform(F.array(F.translate(c, _ACCENTED, _PLAIN)), plain), F.lit(0))
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(folded)
 
 
 # Fixed pattern: what separates the parts of a slug.

@@ -1,12 +1,15 @@
 """Variable codebooks from tables of HTML pages (page_id, url, html).
 
-Pages are cut with regular expressions inside the JVM; each page is one row, so the
-work spreads over whatever partitions the page table has.
+Everything stays inside the JVM. A page is cut once into sections, before each heading,
+and a section into parts, at both ends of its tables. Titles, tables, questions and
+section texts are slices of those, so the patterns that take them apart see a few hundred
+characters and not the page.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
@@ -62,7 +65,12 @@ CODEBOOK_COLUMNS = (
 CATEGORY_TYPE = "array<struct<valor:string,categoria:string,casos:string,porcentaje:string>>"
 
 HEADING = r"(?is)<(h[234])\b[^>]*>(.*?)</\1\s*>"
-TABLE = r"(?is)<table\b.*?</table\s*>"
+# Where a page is cut into sections, and a section into parts.
+SECTION, PART = r"(?i)(?=<h[234]\b)", r"(?i)(?=</?table\b)"
+# A page with a table or a heading inside a table, and the tags that what is inside loses, so that it is text of the cell that holds it.
+NESTED = r"(?i)<table\b(?>[^<]|<(?!/?table\b|h[234]\b))*+<(?:table|h[234])\b"
+INNER, INNER_HEADING = r"(?is)</?(?:table|thead|tbody|tfoot|tr|td|th)\b[^>]*>", r"(?is)</?h[234]\b[^>]*>"
+REFERENCE = r"^(#0*\d{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
 
 def _col(c: Column | str) -> Column:
@@ -74,60 +82,50 @@ def clean_html(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
 
 
-def _decoded(page: Column) -> Column:
-    """Named and numeric references as characters; those of < > & stay, in named form."""
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that a lambda inside it reads many times and that is to be computed once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _decoded(text: Column) -> Column:
+    """Named and numeric references as characters; those of < > & stay, in named form.
+
+    Each distinct name of a text is looked up once in the table of all names.
+    """
     def table(names) -> Column:
         return F.create_map(*[F.lit(text) for name in names for text in (name, ENTITIES[name])])
 
-    reference = r"^(#0*\d{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+    def known(name: Column) -> Column:
+        return F.coalesce(F.try_element_at(table(COMMON), name), F.try_element_at(table(ENTITIES), name))
 
     def split_reference(piece: Column) -> Column:
-        return F.struct(F.regexp_extract(piece, reference, 1).alias("ref"), piece.alias("text"))
+        return F.struct(F.regexp_extract(piece, REFERENCE, 1).alias("ref"), piece.alias("text"))
 
-    def character(ref: Column) -> Column:
+    def numbered(ref: Column) -> Column:
         number = F.when(ref.rlike("^#[xX]"), F.conv(F.regexp_replace(ref, "^#[xX]", ""), 16, 10)).otherwise(F.conv(F.substring(ref, 2, 40), 10, 10)).cast("long")
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         markup = F.when(number == 0x3C, "&lt;").when(number == 0x3E, "&gt;").when(number == 0x26, "&amp;")
-        text = F.coalesce(markup, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-        return F.when(ref.startswith("#"), F.when(valid, text)).otherwise(
-            F.coalesce(F.try_element_at(table(COMMON), ref), F.try_element_at(table(ENTITIES), ref))
-        )
+        return F.when(valid, F.coalesce(markup, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")))
 
-    def join_reference(piece: Column) -> Column:
-        ref, text = piece["ref"], piece["text"]
-        rest = F.substring(text, F.length(ref) + 2, F.length(text))
-        return F.coalesce(F.concat(character(ref), rest), F.concat(F.lit("&"), text))
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), split_reference)
+        names = F.array_distinct(F.filter(F.transform(tail, lambda t: t["ref"]), lambda r: (r != "") & ~r.startswith("#")))
 
-    pieces = F.split(page, "&")
-    tail = F.transform(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), split_reference), join_reference)
-    return F.when(page.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(page)
+        def one(names: Column) -> Column:
+            return _once(F.map_from_arrays(names, F.transform(names, known)), lambda own: F.array_join(F.transform(tail, lambda t: written(own, t)), ""))
 
+        def written(own: Column, t: Column) -> Column:
+            char = F.when(t["ref"].startswith("#"), numbered(t["ref"])).otherwise(F.try_element_at(own, t["ref"]))
+            return F.coalesce(F.concat(char, F.substring(t["text"], F.length(t["ref"]) + 2, F.length(t["text"]))), F.concat(F.lit("&"), t["text"]))
 
-def _flat_tables(page: Column) -> Column:
-    """The page with tables inside tables as plain text of the cell that holds them."""
-    inner = r"(?is)</?(?:table|thead|tbody|tfoot|tr|td|th)\b[^>]*>"
-    pieces = F.split(page, r"(?i)(?=</?table\b)")
+        return F.concat(F.get(pieces, F.lit(0)), _once(names, one))
 
-    def step(acc: Column, piece: Column) -> Column:
-        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
-        before = acc["depth"]
-        depth = F.when(opens, before + 1).when(closes, F.greatest(before - 1, F.lit(0))).otherwise(before)
-        text = (
-            F.when((depth >= 2), F.regexp_replace(piece, inner, " "))
-            .when(closes & (before >= 2), F.regexp_replace(piece, r"(?i)^</table\b[^>]*>", " "))
-            .otherwise(piece)
-        )
-        return F.struct(depth.alias("depth"), F.concat(acc["page"], text).alias("page"))
-
-    flat = F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("page")), step, lambda acc: acc["page"])
-    nested = page.rlike(r"(?is)<table\b(?>[^<]|<(?!/?table\b))*+<table\b")
-    return F.when(nested, flat).otherwise(page)
+    return F.when(text.contains("&"), _once(F.split(text, "&"), joined)).otherwise(text)
 
 
 def decoded_pages(pages: DataFrame) -> DataFrame:
-    """Adds ``_page``: cleaned, with every reference but those of < > & decoded, and no table inside a table."""
-    cleaned = pages.withColumn("_page", clean_html("html")).withColumn("_page", _decoded(F.col("_page")))
-    return cleaned.withColumn("_page", _flat_tables(F.col("_page")))
+    """Adds ``_page``: cleaned, with every reference but those of < > & decoded."""
+    return pages.withColumn("_page", _decoded(clean_html("html")))
 
 
 def plain_markup(c: Column) -> Column:
@@ -142,41 +140,63 @@ def strip_tags(c: Column | str) -> Column:
     return squeeze(plain_markup(F.regexp_replace(_col(c), "<[^>]*>", " ")))
 
 
-def heading_name(piece: Column) -> Column:
-    inner = F.regexp_extract(piece, "^" + HEADING, 2)
-    return F.lower(squeeze(F.regexp_replace(inner, "<[^>]*>", " ")))
+def _flat_tables(page: Column) -> Column:
+    """A page whose tables hold no heading and no table: what they hold is plain text of their cells."""
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        before = acc["depth"]
+        depth = F.when(opens, before + 1).when(closes, F.greatest(before - 1, F.lit(0))).otherwise(before)
+        text = F.when((depth >= 2) | closes & (before >= 2), F.regexp_replace(piece, INNER, " ")).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.array_append(acc["parts"], F.when(depth >= 1, F.regexp_replace(text, INNER_HEADING, " ")).otherwise(text)).alias("parts"))
+
+    begin = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("parts"))
+    flat = F.aggregate(F.split(page, PART), begin, step, lambda acc: F.array_join(acc["parts"], ""))
+    return F.when(page.rlike(NESTED), flat).otherwise(page)
+
+
+def _sections(page: Column) -> Column:
+    """array of (level, name, parts): what a page holds before its first heading and from each one to the next."""
+    def section(piece: Column) -> Column:
+        name = F.lower(squeeze(F.regexp_replace(F.regexp_extract(piece, "^" + HEADING, 2), "<[^>]*>", " ")))
+        return F.struct(F.substring(piece, 3, 1).alias("level"), name.alias("name"), F.split(piece, PART).alias("parts"))
+
+    return F.transform(F.split(page, SECTION), section)
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Adds ``_page`` and ``_pieces``: the page cut before each h2, h3 or h4, with the heading's text."""
-    pieces = F.transform(
-        F.split("_page", r"(?i)(?=<h[234]\b)"),
-        lambda p: F.struct(heading_name(p).alias("name"), p.alias("html")),
-    )
-    return decoded_pages(pages).withColumn("_pieces", pieces)
+    """Adds ``_sections`` of the decoded page, in which tables hold neither tables nor headings."""
+    flat = decoded_pages(pages).withColumn("_page", _flat_tables(F.col("_page")))
+    return flat.withColumn("_sections", _sections(F.col("_page"))).drop("_page")
 
 
-def _named(piece: Column, names: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for name in names:
-        out = out | piece["name"].contains(name.lower())
-    return out
+def _named(section: Column, names: Sequence[str]) -> Column:
+    return reduce(lambda out, name: out | section["name"].contains(name.lower()), names, F.lit(False))
 
 
-def _after_heading(names: Sequence[str]) -> Column:
-    """The page from the first heading that contains one of the names; null without one."""
-    pieces = F.col("_pieces")
-    at = F.array_position(F.transform(pieces, lambda p: _named(p, names)), F.lit(True)).cast("int")
-    rest = F.array_join(F.transform(F.slice(pieces, F.greatest(at, F.lit(1)), F.size(pieces)), lambda p: p["html"]), "")
-    return F.when(at > 0, rest)
+def _from_first(sections: Column, test: Callable[[Column], Column]) -> Column:
+    """The sections from the first that passes a test; null without one."""
+    def tail(all_: Column) -> Column:
+        at = F.array_position(F.transform(all_, test), F.lit(True)).cast("int")
+        return _once(at, lambda i: F.when(i > 0, F.slice(all_, F.greatest(i, F.lit(1)), F.size(all_))))
 
+    return _once(sections, tail)
 
-def _tables(page: Column) -> Column:
-    return F.regexp_extract_all(page, F.lit(TABLE), 0)
 
+def _first(sections: Column, test: Callable[[Column], Column]) -> Column:
+    return F.get(F.filter(sections, test), F.lit(0))
 
-def _first_table(fragment: Column) -> Column:
-    return F.get(_tables(fragment), F.lit(0))
+
+def _is_table(part: Column) -> Column:
+    return F.lower(F.substring(part, 1, 6)) == "<table"
+
+
+def _tables(sections: Column) -> Column:
+    return F.filter(F.flatten(F.transform(sections, lambda s: s["parts"])), _is_table)
+
+
+def _first_table(names: Sequence[str]) -> Column:
+    """The first table behind a heading that contains one of the names."""
+    return F.get(_tables(_from_first(F.col("_sections"), lambda s: _named(s, names))), F.lit(0))
 
 
 def table_rows(table: Column) -> Column:
@@ -192,14 +212,11 @@ def table_rows(table: Column) -> Column:
 
 def _overview_rows() -> Column:
     def has_label(table: Column) -> Column:
-        text = strip_tags(table)
-        out = F.lit(False)
-        for _, shown, _ in OVERVIEW_ATTRIBUTES:
-            out = out | text.contains(shown)
-        return out
+        shown = [name for _, name, _ in OVERVIEW_ATTRIBUTES]
+        return _once(strip_tags(table), lambda text: reduce(lambda out, name: out | text.contains(name), shown, F.lit(False)))
 
-    any_table = F.get(F.filter(_tables(F.col("_page")), has_label), F.lit(0))
-    return table_rows(F.coalesce(_first_table(_after_heading(OVERVIEW_HEADINGS)), any_table))
+    any_table = F.get(F.filter(_tables(F.col("_sections")), has_label), F.lit(0))
+    return table_rows(F.coalesce(_first_table(OVERVIEW_HEADINGS), any_table))
 
 
 def _overview_values(rows: Column) -> list[Column]:
@@ -219,9 +236,11 @@ def overview(pages: DataFrame) -> DataFrame:
 
 def _question_part() -> Column:
     """From the end of the question label to the next heading."""
-    scope = F.coalesce(_after_heading([QUESTION_HEADING]), F.col("_page"))
+    sections = F.col("_sections")
+    scope = F.coalesce(_from_first(sections, lambda s: _named(s, [QUESTION_HEADING])), sections)
+    labelled = _first(F.transform(scope, lambda s: F.array_join(s["parts"], "")), lambda html: html.rlike(QUESTION_LABEL))
     label = "(?s)" + QUESTION_LABEL + r"\s*:?\s*(?:</[^>]+>\s*)*(.*)$"
-    return F.get(F.split(F.regexp_extract(scope, label, 1), r"(?i)<h[234]\b"), F.lit(0))
+    return F.coalesce(F.regexp_extract(labelled, label, 1), F.lit(""))
 
 
 def _question_texts(part: Column) -> Column:
@@ -251,8 +270,8 @@ def _category_rows() -> Column:
         cells = F.transform(F.when(F.size(head) > 0, head).otherwise(first_row), lambda t: F.lower(strip_tags(t)))
         return F.exists(cells, lambda t: t.contains("valor")) & F.exists(cells, lambda t: t.contains("categor"))
 
-    any_table = F.get(F.filter(_tables(F.col("_page")), is_category_table), F.lit(0))
-    return table_rows(F.coalesce(_first_table(_after_heading(CATEGORY_HEADINGS)), any_table))
+    any_table = F.get(F.filter(_tables(F.col("_sections")), is_category_table), F.lit(0))
+    return table_rows(F.coalesce(_first_table(CATEGORY_HEADINGS), any_table))
 
 
 def _category_structs(rows: Column) -> Column:
@@ -278,30 +297,30 @@ def split_title(c: Column | str) -> Column:
     """``Label (CODE)`` of a decoded page -> struct(label, code); without a code all is label."""
     text = strip_tags(_col(c))
     pattern = TITLE_CODE
-    return F.struct(
-        F.trim(F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1)).otherwise(text)).alias("label"),
-        F.regexp_extract(text, pattern, 2).alias("code"),
-    )
+    return _once(text, lambda t: F.struct(
+        F.trim(F.when(t.rlike(pattern), F.regexp_extract(t, pattern, 1)).otherwise(t)).alias("label"),
+        F.regexp_extract(t, pattern, 2).alias("code"),
+    ))
 
 
-def _section_html(name: str) -> Column:
-    """Raw section under the first heading with this name, or after a bold label."""
-    own = F.get(F.filter("_pieces", lambda p: _named(p, [name])), F.lit(0))["html"]
-    bold = F.regexp_extract(
-        "_page", rf"(?isu)<strong\b[^>]*>[^<]*{name}[^<]*</strong\s*>\s*(?:</[^>]+>)?(.*?)(?=<h[234]\b|<strong\b|$)", 1
-    )
-    return F.coalesce(F.regexp_replace(own, "^" + HEADING, ""), bold)
+def _prose(section: Column) -> Column:
+    return F.array_join(F.filter(section["parts"], lambda p: ~_is_table(p)), " ")
 
 
 def _section_text(name: str) -> Column:
-    prose = F.regexp_replace(_section_html(name), r"(?is)<(table|ul|ol|dl)\b.*?</\1\s*>", " ")
+    """Text of the section under the first heading with this name, or after a bold label; tables and lists are left out."""
+    sections = F.col("_sections")
+    own = F.regexp_replace(_prose(_first(sections, lambda s: _named(s, [name]))), "^" + HEADING, "")
+    label = rf"(?isu)<strong\b[^>]*>[^<]*{name}[^<]*</strong\s*>"
+    behind = _first(F.transform(sections, _prose), lambda html: html.rlike(label))
+    bold = F.regexp_extract(behind, label + r"\s*(?:</[^>]+>)?(.*?)(?=<strong\b|$)", 1)
+    prose = F.regexp_replace(F.coalesce(own, bold), r"(?is)<(ul|ol|dl)\b.*?</\1\s*>", " ")
     return F.coalesce(strip_tags(prose), F.lit(""))
 
 
 def _section_value(names: Sequence[str]) -> Column:
-    # Texts of all names as one array; the first that is not empty counts.
-    texts = F.array(*[_section_text(n) for n in names])
-    return F.coalesce(F.get(F.filter(texts, lambda t: t != ""), F.lit(0)), F.lit(""))
+    # The first text that is not empty counts; later names are not looked for then.
+    return F.coalesce(*[_once(_section_text(n), lambda t: F.nullif(t, F.lit(""))) for n in names], F.lit(""))
 
 
 def section(pages: DataFrame, names: Sequence[str], out: str = "section") -> DataFrame:
@@ -348,8 +367,9 @@ def anchors(pages: DataFrame, containing: str = "") -> DataFrame:
 
     ``containing`` drops anchors without that text before they are taken apart.
     """
-    found = F.regexp_extract_all("_page", F.lit(r"(?is)<a\b[^>]*?href\s*=.*?(?=</a\s*>|<a\b|\z)"), 0)
-    link = decoded_pages(pages).select("page_id", "url", F.posexplode(found).alias("pos", "a"))
+    found = F.regexp_extract_all(clean_html("html"), F.lit(r"(?is)<a\b[^>]*?href\s*=.*?(?=</a\s*>|<a\b|\z)"), 0)
+    # Only the links are decoded, not their pages.
+    link = pages.select("page_id", "url", F.posexplode(found).alias("pos", "_raw")).select("page_id", "url", "pos", _decoded(F.col("_raw")).alias("a"))
     link = link.filter(F.col("a").contains(containing)) if containing else link
     raw = F.regexp_extract("a", r"(?is)^<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]*)", 1)
     return link.select("page_id", "url", "pos", plain_markup(raw).alias("href"), strip_tags("a").alias("text"))
@@ -416,10 +436,10 @@ def codebook(pages: DataFrame, tabla: Column | None = None, variable: Column | N
     Table and variable default to the ``file_name`` and ``name`` parameters of the
     page address, the variable also to the code in the title.
     """
-    page = F.col("_page")
     own_table = F.regexp_extract("url", r"[?&]file_name=([^&#]*)", 1)
     own_name = F.nullif(F.regexp_extract("url", r"[?&]name=([^&#]*)", 1), F.lit(""))
-    title = split_title(F.regexp_extract(page, r"(?is)<h2\b[^>]*>(.*?)</h2\s*>", 1))
+    first = _first(F.col("_sections"), lambda s: (s["level"] == "2") & F.lower(F.substring(F.get(s["parts"], F.lit(0)), 1, 3)).eqNullSafe("<h2"))
+    title = split_title(F.coalesce(F.regexp_extract(F.get(first["parts"], F.lit(0)), "^" + HEADING, 2), F.lit("")))
     # What several output columns read is computed in a step before them.
     staged = parsed_pages(pages).select(
         "*",
