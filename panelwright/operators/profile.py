@@ -10,8 +10,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Slices of equal width in which a quantile is searched before rows are ordered.
-SLICES = 4096
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -44,79 +42,74 @@ def _count_values(df: DataFrame) -> DataFrame:
     )
 
 
-def _magnitude(value: Column) -> Column:
-    """A finite number that grows with the value: by one an octave, on both sides of zero; infinities and NaN at the ends."""
-    octave = F.signum(value) * (F.log2(F.abs(value)) + 1075)
-    return (
-        F.when(F.isnan(value), 2300.0).when(value == float("inf"), 2200.0).when(value == float("-inf"), -2200.0)
-        .when(value == 0, 0.0).otherwise(octave)
-    )
-
+def sortable(value: Column) -> Column:
+    """A double as a long of the same order: its bits, negated below zero; NaN comes last, both zeros are 0.
 
-def _narrow(inside: DataFrame, targets: DataFrame, by_magnitude: bool) -> tuple[DataFrame, DataFrame]:
-    """Keep the slices that hold a wanted rank.
-
-    ``inside``: column, part, value, n. ``targets``: column, part, rows before it, ranks
-    wanted in it. Each part is cut into slices of equal width between its own extremes,
-    by magnitude or by value: after a step by magnitude, far values and infinities are in
-    slices of their own.
+    Built from exact steps only: scaling by powers of two and whole numbers below 2^53.
     """
-    key = ["column", "part"]
-    at = _magnitude(F.col("value")) if by_magnitude else F.col("value")
-    span = inside.groupBy(*key).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    slice_no = F.least(F.floor((at - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
-    # A part per column, then at most two per wanted quantile: small enough to broadcast.
-    sliced = inside.join(F.broadcast(span), key).select(
-        *key, "value", "n", F.when(width > 0, slice_no).otherwise(0).cast("int").alias("slice")
-    )
-    totals = sliced.groupBy(*key, "slice").agg(F.sum("n").alias("m")).join(F.broadcast(targets), key)
-    # At most SLICES rows per part reach this window.
-    start = F.col("before") + F.sum("m").over(W.partitionBy(*key).orderBy("slice")) - F.col("m")
-    wanted = (
-        totals.withColumn("start", start)
-        .withColumn("hits", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m"))))
-        .filter(F.size("hits") > 0)
-    )
-    new_part = F.col("part") * SLICES + F.col("slice")
-    kept = sliced.join(F.broadcast(wanted.select(*key, "slice")), [*key, "slice"], "left_semi")
-    return (
-        kept.select("column", new_part.alias("part"), "value", "n"),
-        wanted.select("column", new_part.alias("part"), F.col("start").alias("before"), F.col("hits").alias("ranks")),
-    )
-
-
-def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact interpolated quantiles from (column, value, n), without ordering the table.
-
-    Slice totals tell which slice holds each wanted rank; only those slices are cut
-    again, and only what is left then is ordered. The result has one row per column
-    with an array in the order of ``probs``.
+    size = F.abs(value)
+    # The logarithm is corrected by one where rounding has passed a power of two.
+    near = F.least(F.floor(F.log2(size)), F.lit(1023))
+    power = F.pow(F.lit(2.0), near.cast("double"))
+    exponent = near - F.when(size < power, 1).otherwise(0) + F.when(size / power >= 2, 1).otherwise(0)
+    part = ((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * float(1 << 52)).cast("long")
+    normal = (exponent + 1023) * F.lit(1 << 52) + part
+    small = (size * float(1 << 537) * float(1 << 537)).cast("long")
+    bits = (
+        F.when(F.isnan(value), F.lit(0x7FF8 << 48)).when(size == float("inf"), F.lit(0x7FF0 << 48)).when(size == 0, F.lit(0))
+        .when(size < 2.0**-1022, small).otherwise(normal)
+    )
+    return F.when(value < 0, -bits).otherwise(bits).cast("long")
+
+
+def from_sortable(key: Column) -> Column:
+    """The double of a sortable long."""
+    bits = F.abs(key)
+    exponent, part = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    normal = (part / float(1 << 52) + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
+    size = (
+        F.when(bits > F.lit(0x7FF0 << 48), float("nan")).when(bits == F.lit(0x7FF0 << 48), float("inf"))
+        .when(exponent == 0, part / float(1 << 537) / float(1 << 537)).otherwise(normal)
+    )
+    return F.when(key < 0, -size).otherwise(size)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact interpolated quantiles of each column as an array in the order of ``probs``: (column, quantiles).
+
+    Radix selection: values become longs of the same order, and their leading 16 bits are
+    counted; the slices that hold a wanted rank are known from running sums, and only the
+    values in them are counted by their next 16 bits, until all 64 are used. Each round is
+    one scan whose tasks send on at most a row a slice: values themselves are never
+    shuffled or ordered, however many fall into one slice. Nulls are left out, NaN is above
+    infinity; a column without values has no row.
     """
+    long = df.select(*[sortable(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]).unpivot([], list(cols), "column", "key").filter("key is not null")
     position = [F.lit(p) * (F.col("total") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    zero = F.lit(0).cast("long")
-    # One row per profiled column: bounded by the schema.
-    total = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    inside = counts.select("column", zero.alias("part"), "value", "n")
-    targets = total.select("column", zero.alias("part"), zero.alias("before"), ranks.alias("ranks"))
-    for by_magnitude in (True, False):
-        inside, targets = _narrow(inside, targets, by_magnitude)
-    ordered = inside.join(F.broadcast(targets), ["column", "part"])
-    start = F.col("before") + F.sum("n").over(W.partitionBy("column", "part").orderBy("value")) - F.col("n")
-    found = (
-        ordered.withColumn("start", start)
-        .withColumn("hit", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n"))))
-        .select("column", "value", F.explode("hit").alias("rank"))
-        .join(F.broadcast(total), "column")
-    )
-    by_rank = found.groupBy("column", "total").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
-    )
+    slices = long.groupBy("column", F.shiftright("key", 48).alias("slice")).agg(F.count(F.lit(1)).alias("m"))
+    whole = F.sum("m").over(W.partitionBy("column"))
+    slices = slices.withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long"), "total": whole}).withColumn("ranks", ranks)
+    for shift in (48, 32, 16, 0):
+        if shift < 48:
+            # At most two slices a wanted quantile and column are kept: small enough to broadcast.
+            inside = long.withColumn("part", F.shiftright("key", shift + 16)).join(F.broadcast(kept), ["column", "part"])
+            slices = inside.groupBy("column", "part", F.shiftright("key", shift).alias("slice")).agg(
+                F.count(F.lit(1)).alias("m"), *[F.first(c).alias(c) for c in ("before", "total", "ranks")]
+            )
+        # At most 65,536 slices of a part reach this window.
+        start = F.col("before") + F.sum("m").over(W.partitionBy("column", "part").orderBy("slice")) - F.col("m")
+        kept = (
+            slices.withColumn("start", start)
+            .select("column", F.col("slice").alias("part"), F.col("start").alias("before"), "total", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m"))).alias("ranks"))
+            .filter(F.size("ranks") > 0)
+        )
+    found = kept.select("column", "total", from_sortable(F.col("part")).alias("value"), F.explode("ranks").alias("rank"))
+    by_rank = found.groupBy("column", "total").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
     quantiles = []
     for p in position:
         low, high = F.col("at")[F.floor(p)], F.col("at")[F.ceil(p)]
-        quantiles.append(low + (high - low) * (p - F.floor(p)))
+        quantiles.append(F.when(low == high, low).otherwise(low + (high - low) * (p - F.floor(p))))
     return by_rank.select("column", F.array(*quantiles).alias("quantiles"))
 
 
@@ -134,7 +127,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for c in cols
     ])
     one_row = df.agg(stats.alias("s")).select(F.inline("s"))
-    cut = exact_quantiles(column_counts(df, cols)).select(
+    cut = exact_quantiles(df, cols).select(
         "column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
     )
     return one_row.join(cut, "column", "left").select(
@@ -163,7 +156,7 @@ def center_stats(df: DataFrame, cols: Sequence[str], n_modes: int = 3) -> DataFr
         F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(F.col(c).cast("double")).alias("mean")) for c in cols
     ])
     basic = df.agg(stats.alias("s")).select(F.inline("s"))
-    cut = exact_quantiles(counts).select(
+    cut = exact_quantiles(df, cols).select(
         "column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))]
     )
     return basic.join(cut, "column", "left").join(modes(counts, n_modes), "column", "left")
@@ -197,29 +190,43 @@ def temporal_profile(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFr
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every pair of columns in one pass, as (a, b, corr).
 
-    Pairs with a null are skipped; a constant column gives null. A row meets the
-    aggregate once per pair and collapses there, before the shuffle: dozens of
-    aggregates side by side would be too wide for compiled code.
+    Pairs with a null are skipped; a constant column gives null. A row meets the aggregate
+    once: sums and cross products of all columns, apart for each pattern of nulls, so that
+    rows with a null count for the pairs they have. Pairs are only formed from the few rows
+    that leave it. Values are shifted by their column's mean, which keeps the sums small.
     """
-    pairs = list(combinations_with_replacement(cols, 2))
-    value = {c: F.col(c).cast("double") for c in cols}
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("pair"), value[a].alias("x"), value[b].alias("y")) for i, (a, b) in enumerate(pairs)
-    ])
-    sums = df.select(*by, F.inline(cells)).groupBy(*by, "pair").agg(
-        F.covar_pop("x", "y").alias("covariance"), F.regr_r2("y", "x").alias("share")
-    )
-    # corr() raises on a constant column. The share of variance does not, but reads 1
-    # for a constant y, where the covariance is 0.
-    corr = F.when(
-        (F.col("covariance") != 0) | (F.col("share") != 1), F.signum("covariance") * F.sqrt("share")
-    )
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    named = sums.select(*by, F.get(names, F.col("pair")).alias("of"), corr.alias("corr"))
-    one_way = F.struct("of.a", "of.b", "corr")
-    other_way = F.struct(F.col("of.b").alias("a"), F.col("of.a").alias("b"), "corr")
-    both = F.when(F.col("of.a") == F.col("of.b"), F.array(one_way)).otherwise(F.array(one_way, other_way))
-    return named.select(*by, F.inline(both))
+    cols = list(cols)
+    value = [F.col(f"`{c}`").cast("double") for c in cols]
+    means = df.agg(F.struct(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(value)]).alias("m")).scalar()
+    shifted = [F.coalesce(v - means[f"m{i}"], F.lit(0.0)).alias(f"_x{i}") for i, v in enumerate(value)]
+    present = F.concat(*[F.when(v.isNull(), "0").otherwise("1") for v in value]).alias("_present")
+    rows = df.select(*by, present, *shifted, *[v.alias(f"_v{i}") for i, v in enumerate(value)])
+    pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    sums = rows.groupBy(*by, "_present").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[f(f"_{c}{i}").alias(f"_{out}{i}") for i in range(len(cols)) for f, c, out in ((F.sum, "x", "s"), (F.min, "v", "lo"), (F.max, "v", "hi"))],
+        *[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_p{i}_{j}") for i, j in pairs],
+    )
+
+    def pair(i: int, j: int) -> Column:
+        both = (F.substring("_present", i + 1, 1) == "1") & (F.substring("_present", j + 1, 1) == "1")
+        fields = {
+            "n": "_n", "sx": f"_s{i}", "sy": f"_s{j}", "xx": f"_p{i}_{i}", "yy": f"_p{j}_{j}", "xy": f"_p{i}_{j}",
+            "xl": f"_lo{i}", "xh": f"_hi{i}", "yl": f"_lo{j}", "yh": f"_hi{j}",
+        }
+        return F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), *[F.when(both, F.col(c)).alias(name) for name, c in fields.items()])
+
+    each = sums.select(*by, F.inline(F.array(*[pair(i, j) for i, j in pairs])))
+    total = each.groupBy(*by, "a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")], *[f(c).alias(c) for f, c in ((F.min, "xl"), (F.max, "xh"), (F.min, "yl"), (F.max, "yh"))]
+    )
+    left = lambda p, s, t: F.col(p) - F.col(s) * F.col(t) / F.nullif(F.col("n"), F.lit(0))
+    vx, vy = left("xx", "sx", "sx"), left("yy", "sy", "sy")
+    varies = (F.col("xl") < F.col("xh")) & (F.col("yl") < F.col("yh")) & (vx > 0) & (vy > 0)
+    corr = F.when(F.col("a") == F.col("b"), F.when(varies, 1.0)).otherwise(F.when(varies, left("xy", "sx", "sy") / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0))))
+    named = total.select(*by, "a", "b", corr.alias("corr"))
+    other_way = named.filter("a <> b").select(*by, F.col("b").alias("a"), F.col("a").alias("b"), "corr")
+    return named.unionByName(other_way)
 
 
 def magnitude_ratio(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -201,7 +201,7 @@ def test_exact_quantiles(spark, values):
 
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
-    got = profile.exact_quantiles(profile.column_counts(df, ["x"]), probs).first()["quantiles"]
+    got = profile.exact_quantiles(df, ["x"], probs).first()["quantiles"]
     assert got == pytest.approx(np.quantile(values, probs).tolist(), rel=1e-12, abs=1e-12)
 
 
