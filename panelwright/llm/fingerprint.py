@@ -9,8 +9,9 @@ from panelwright.llm.common import arrow_map, importable, whole_text
 
 #: Bytes of a window, windows of a run, and runs a window must win to be a feature.
 WINDOW, RUN, WINS = 32, 32, 8
-#: Bytes of a window in a text that has fewer such features than this.
-SHORT, FEW = 4, 8
+#: Bytes of a short window; texts with fewer features than ``ZONE`` have their short windows in filters of their own, and
+#: two texts are compared by these if one of them has fewer than ``FEW`` and both have them.
+SHORT, FEW, ZONE = 4, 16, 64
 #: Entropy steps, bits of a filter, bits per feature, features of a filter.
 STEPS, BITS, HASHES, FILL = 1000, 2048, 5, 160
 #: Share of the way from the overlap expected by chance to the highest possible one that counts as no likeness.
@@ -89,13 +90,29 @@ def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
     return rank
 
 
+def _filters(owner, h, n: int) -> list[tuple]:
+    """(filters as rows of 32 64-bit words, features in each) of each of ``n`` texts, from hashes in order of their owners."""
+    import numpy as np
+
+    count = np.bincount(owner, minlength=n)
+    base, first = np.append(0, np.cumsum(-(-count // FILL))), np.append(0, np.cumsum(count))
+    at = base[owner] + (np.arange(len(owner)) - first[owner]) // FILL
+    bits = np.zeros(int(base[-1]) * BITS, np.uint8)
+    for j in range(HASHES):
+        bits[at * BITS + (h >> np.uint64(11 * j) & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    words = np.packbits(bits).view(np.uint64).reshape(-1, BITS // 64)
+    held = np.bincount(at, minlength=int(base[-1]))
+    return [(words[a:b], held[a:b]) for a, b in zip(base, base[1:])]
+
+
 def digests(texts: list[bytes], rank) -> list[tuple]:
-    """(filters, features in each) of whole texts: filters as rows of 32 64-bit words.
+    """(chain, short chain) of whole texts; a chain is (filters, features in each), filters as rows of 32 64-bit words.
 
     In every run of windows the leftmost of lowest rank wins; a window that wins ``WINS``
     runs is a feature. Features go in text order into a filter until it holds ``FILL``, then
-    into the next. In a text of fewer than ``FEW`` features, being short or uniform, each distinct
-    window of 4 bytes is one instead, or the whole of a shorter text; an empty text has none.
+    into the next. In a text of fewer than ``ZONE`` features, being short or uniform, each
+    distinct window of 4 bytes, or the whole of a shorter text, is a feature of the short
+    chain; other texts and empty ones have an empty short chain.
     """
     import numpy as np
     import xxhash
@@ -123,57 +140,55 @@ def digests(texts: list[bytes], rank) -> list[tuple]:
             mixed = (h[j : j + len(part)] ^ word) * np.uint64(0xFF51AFD7ED558CCD)
             h[j : j + len(part)] = mixed ^ mixed >> np.uint64(32)
     owner = np.searchsorted(ends, place, side="right")
-    few = np.bincount(owner, minlength=len(texts)) < FEW
-    bare = np.flatnonzero(few & (sizes > 0))
-    if len(bare):
-        owner, h = owner[~few[owner]], h[~few[owner]]
-        small = [sorted({texts[i][j : j + SHORT] for j in range(max(1, len(texts[i]) - SHORT + 1))}) for i in bare]
-        owner = np.append(owner, np.repeat(bare, [len(s) for s in small]))
-        h = np.append(h, np.array([xxhash.xxh64_intdigest(x) for s in small for x in s], np.uint64))
-        order = np.argsort(owner, kind="stable")
-        owner, h = owner[order], h[order]
-    count = np.bincount(owner, minlength=len(texts))
-    filters = -(-count // FILL)
-    base, first = np.append(0, np.cumsum(filters)), np.append(0, np.cumsum(count))
-    at = base[owner] + (np.arange(len(owner)) - first[owner]) // FILL
-    bits = np.zeros(int(base[-1]) * BITS, np.uint8)
-    for j in range(HASHES):
-        bits[at * BITS + (h >> np.uint64(11 * j) & np.uint64(BITS - 1)).astype(np.int64)] = 1
-    words = np.packbits(bits).view(np.uint64).reshape(-1, BITS // 64)
-    held = np.bincount(at, minlength=int(base[-1]))
-    return [(words[a:b], held[a:b]) for a, b in zip(base, base[1:])]
+    bare = np.flatnonzero((np.bincount(owner, minlength=len(texts)) < ZONE) & (sizes > 0))
+    small = [sorted({texts[i][j : j + SHORT] for j in range(max(1, len(texts[i]) - SHORT + 1))}) for i in bare]
+    short = np.array([xxhash.xxh64_intdigest(x) for s in small for x in s], np.uint64)
+    return list(zip(_filters(owner, h, len(texts)), _filters(np.repeat(bare, [len(s) for s in small]).astype(np.int64), short, len(texts))))
 
 
 def text_form(digest) -> str:
-    """A digest as text: the features of its last filter, a colon, and its filters in base 64."""
+    """A digest as text: for each chain the features of its last filter, a colon, and its filters in base 64; a semicolon between."""
     from base64 import b64encode
 
-    words, held = digest
-    return f"{held[-1] if len(held) else 0}:{b64encode(words.tobytes()).decode()}"
+    return ";".join(f"{held[-1] if len(held) else 0}:{b64encode(words.tobytes()).decode()}" for words, held in digest)
 
 
-def likeness(one, other) -> float:
-    """0 to 1: the mean, over the digest with fewer filters, of each filter's best normalised bit overlap.
+def chain_likeness(one, other) -> float:
+    """0 to 1: the mean, over the chain with fewer filters, of each filter's best normalised bit overlap; 0 if one is empty.
 
-    Both digests empty: 1; one of them: 0.
+    What two filters of their numbers of bits share by chance counts as none, so a window
+    that a text repeats counts once.
     """
     import numpy as np
 
-    (f, n), (g, m) = (one, other) if len(one[0]) <= len(other[0]) else (other, one)
+    f, g = sorted((one[0], other[0]), key=len)
     if not len(f):
-        return float(not len(g))
-    none, total = 1 - 1 / BITS, 0.0
-    g_bits, block = np.bitwise_count(g).sum(1), max(1, 4096 // max(1, len(g)))
+        return 0.0
+    total = 0.0
+    g_bits, block = np.bitwise_count(g).sum(1, dtype=np.int64), max(1, 4096 // max(1, len(g)))
     for a in range(0, len(f), block):
-        part, held = f[a : a + block], n[a : a + block, None]
-        common = np.bitwise_count(part[:, None] & g[None]).sum(2)
-        most = np.minimum(np.bitwise_count(part).sum(1)[:, None], g_bits)
-        chance = BITS * (1 - none ** (HASHES * held) - none ** (HASHES * m) + none ** (HASHES * (held + m)))
+        part = f[a : a + block]
+        common = np.bitwise_count(part[:, None] & g[None]).sum(2, dtype=np.int64)
+        f_bits = np.bitwise_count(part).sum(1, dtype=np.int64)[:, None]
+        most, chance = np.minimum(f_bits, g_bits), f_bits * g_bits / BITS
         least = chance + CUTOFF * np.maximum(most - chance, 0)
         total += np.clip((common - least) / np.maximum(most - least, 1e-9), 0, 1).max(1).sum()
     return float(total / len(f))
 
 
+def likeness(one, other) -> float:
+    """0 to 1, of chains of the same kind on both sides: the short ones if a text has few features and both have them.
+
+    Both digests empty: 1; one of them: 0.
+    """
+    empty = [not len(d[0][0]) and not len(d[1][0]) for d in (one, other)]
+    if any(empty):
+        return float(all(empty))
+    few = min(int(d[0][1].sum()) for d in (one, other)) < FEW
+    kind = 1 if few and len(one[1][0]) and len(other[1][0]) else 0
+    return chain_likeness(one[kind], other[kind])
+
+
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows dealt into id ranges, each followed by the first row of the next one: (_b, _tail, _o, id, _text), sorted.
 

@@ -217,3 +217,81 @@ def test_digest_does_not_depend_on_neighbours_or_chunks(monkeypatch):
     assert [fingerprint.text_form(fingerprint.digests([t], rank)[0]) for t in texts] == whole
     monkeypatch.setattr(fingerprint, "CHUNK", 1000)
     assert [fingerprint.text_form(d) for d in fingerprint.digests(texts, rank)] == whole
+
+
+def plain_digest(text, rank):
+    """(features of the last filter, filters as sets of bits) of both chains, window by window."""
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    total = lambda c: round(c * math.log2(c) * (1 << 20))
+    top, mask = total(32), (1 << 64) - 1
+    windows = [text[i : i + 32] for i in range(len(text) - 31)]
+    ranks = [rank[((top - sum(total(c) for c in Counter(w).values())) * 1000 + top // 2) // top] for w in windows]
+    wins = Counter(min(range(i, i + 32), key=lambda j: (ranks[j], j)) for i in range(len(windows) - 31))
+    hashes = []
+    for i in sorted(i for i, n in wins.items() if n >= 8):
+        h = 0x9E3779B97F4A7C15
+        for k in range(0, 32, 8):
+            h = (h ^ int.from_bytes(windows[i][k : k + 8], "little")) * 0xFF51AFD7ED558CCD & mask
+            h ^= h >> 32
+        hashes.append(h)
+    short = []
+    if len(hashes) < 64 and text:
+        short = [xxhash.xxh64_intdigest(x) for x in sorted({text[j : j + 4] for j in range(max(1, len(text) - 3))})]
+    chains = []
+    for found in (hashes, short):
+        parts = [found[i : i + 160] for i in range(0, len(found), 160)]
+        chains.append((len(parts[-1]) if parts else 0, [len(x) for x in parts], [{h >> 11 * j & 2047 for h in x for j in range(5)} for x in parts]))
+    return chains
+
+
+def plain_likeness(one, other):
+    empty = [not d[0][2] and not d[1][2] for d in (one, other)]
+    if any(empty):
+        return float(all(empty))
+    kind = 1 if min(sum(d[0][1]) for d in (one, other)) < 16 and one[1][2] and other[1][2] else 0
+    return plain_chain_likeness(one[kind], other[kind])
+
+
+def plain_chain_likeness(one, other):
+    best = []
+    for f in min(one[2], other[2], key=len):
+        found = []
+        for g in max(other[2], one[2], key=len):
+            most, chance = min(len(f), len(g)), len(f) * len(g) / 2048
+            least = chance + 0.15 * max(most - chance, 0)
+            found.append(min(max((len(f & g) - least) / max(most - least, 1e-9), 0), 1))
+        best.append(max(found) if found else 0)
+    return sum(best) / len(best) if best else 0.0
+
+
+def test_digests_and_likeness_equal_the_plain_version():
+    import base64
+
+    import numpy as np
+
+    rng = random.Random(9)
+    texts = [b"", b"x", b"abc", b"a" * 900, *(words(rng, n).encode() for n in (5, 20, 60, 150, 300, 600, 1500)), "é🙂ü".encode() * 40]
+    half = [t[: len(t) // 2] + u[: len(t) // 2] for t, u in zip(texts, texts[1:])]
+    rank = list(range(fingerprint.STEPS + 1))
+    rng.shuffle(rank)
+    found, plain = fingerprint.digests(texts + half, np.array(rank)), [plain_digest(t, rank) for t in texts + half]
+    for digest, want in zip(found, plain):
+        for form, (last, _, bits) in zip(fingerprint.text_form(digest).split(";"), want):
+            held, packed = form.split(":")
+            raw = np.unpackbits(np.frombuffer(base64.b64decode(packed), np.uint8)).reshape(-1, 2048)
+            assert int(held) == last and [set(np.flatnonzero(r).tolist()) for r in raw] == bits
+    for i in range(len(found)):
+        for j in range(len(found)):
+            assert fingerprint.likeness(found[i], found[j]) == pytest.approx(plain_likeness(plain[i], plain[j]), abs=1e-9)
+
+
+def test_a_text_is_like_its_own_edit(spark):
+    """No likeness of 0 between a text and its edit that keeps half of it, whatever its length."""
+    rng = random.Random(11)
+    texts = [words(rng, n) for n in range(1, 160)]
+    for r in fingerprint.fingerprints(documents(spark, texts)).collect():
+        assert r.n_chars < 8 or r.near_edited > 0
