@@ -11,7 +11,7 @@ from panelwright.llm.common import arrow_map, importable, whole_text
 WINDOW, RUN, WINS = 32, 32, 8
 #: Bytes of a short window; texts with fewer features than ``ZONE`` have their short windows in filters of their own, and
 #: two texts are compared by these if one of them has fewer than ``FEW`` and both have them.
-SHORT, FEW, ZONE = 4, 16, 64
+SHORT, FEW, ZONE = 4, 16, 32
 #: Entropy steps, bits of a filter, bits per feature, features of a filter.
 STEPS, BITS, HASHES, FILL = 1000, 2048, 5, 160
 #: Share of the way from the overlap expected by chance to the highest possible one that counts as no likeness.
@@ -105,6 +105,23 @@ def _filters(owner, h, n: int) -> list[tuple]:
     return [(words[a:b], held[a:b]) for a, b in zip(base, base[1:])]
 
 
+def short_features(text: bytes):
+    """Hashes of the distinct short windows of a text, in ascending order of the windows as numbers; of a shorter text, of the whole."""
+    import numpy as np
+
+    if len(text) < SHORT:
+        windows = np.array([int.from_bytes(text, "little") | len(text) << 32], np.uint64)
+    else:
+        data = np.frombuffer(text, np.uint8).astype(np.uint32)
+        n = len(data) - SHORT + 1
+        windows = np.unique(data[:n] | data[1 : n + 1] << 8 | data[2 : n + 2] << 16 | data[3 : n + 3] << 24).astype(np.uint64)
+    h = windows ^ np.uint64(0x9E3779B97F4A7C15)
+    for _ in range(2):
+        h = h * np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(32)
+    return h
+
+
 def digests(texts: list[bytes], rank) -> list[tuple]:
     """(chain, short chain) of whole texts; a chain is (filters, features in each), filters as rows of 32 64-bit words.
 
@@ -115,7 +132,6 @@ def digests(texts: list[bytes], rank) -> list[tuple]:
     chain; other texts and empty ones have an empty short chain.
     """
     import numpy as np
-    import xxhash
 
     sizes = np.array([len(t) for t in texts], np.int64)
     data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes)
@@ -141,8 +157,8 @@ def digests(texts: list[bytes], rank) -> list[tuple]:
             h[j : j + len(part)] = mixed ^ mixed >> np.uint64(32)
     owner = np.searchsorted(ends, place, side="right")
     bare = np.flatnonzero((np.bincount(owner, minlength=len(texts)) < ZONE) & (sizes > 0))
-    small = [sorted({texts[i][j : j + SHORT] for j in range(max(1, len(texts[i]) - SHORT + 1))}) for i in bare]
-    short = np.array([xxhash.xxh64_intdigest(x) for s in small for x in s], np.uint64)
+    small = [short_features(texts[i]) for i in bare]
+    short = np.concatenate(small) if small else np.zeros(0, np.uint64)
     return list(zip(_filters(owner, h, len(texts)), _filters(np.repeat(bare, [len(s) for s in small]).astype(np.int64), short, len(texts))))
 
 
@@ -260,7 +276,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         f"`{id_col}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    return arrow_map(ordered, ["_b", "_tail", id_col, "_text"], schema, make)
+    return arrow_map(ordered, ["_b", "_tail", id_col, "_text"], schema, make, rows=64)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -224,8 +224,6 @@ def plain_digest(text, rank):
     import math
     from collections import Counter
 
-    import xxhash
-
     total = lambda c: round(c * math.log2(c) * (1 << 20))
     top, mask = total(32), (1 << 64) - 1
     windows = [text[i : i + 32] for i in range(len(text) - 31)]
@@ -239,8 +237,14 @@ def plain_digest(text, rank):
             h ^= h >> 32
         hashes.append(h)
     short = []
-    if len(hashes) < 64 and text:
-        short = [xxhash.xxh64_intdigest(x) for x in sorted({text[j : j + 4] for j in range(max(1, len(text) - 3))})]
+    if len(hashes) < 32 and text:
+        windows = {int.from_bytes(text[j : j + 4], "little") for j in range(len(text) - 3)} or {int.from_bytes(text, "little") | len(text) << 32}
+        for w in sorted(windows):
+            h = w ^ 0x9E3779B97F4A7C15
+            for _ in range(2):
+                h = h * 0xFF51AFD7ED558CCD & mask
+                h ^= h >> 32
+            short.append(h)
     chains = []
     for found in (hashes, short):
         parts = [found[i : i + 160] for i in range(0, len(found), 160)]
