@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions.text import NATION
+from panelwright.operators.joins import null_safe_join
 
 # Yearly period labels by preference; any other ranks after them.
 YEARLY_PERIODS = ("T4", "12 Meses", "Año", "Anual", "Anio")
@@ -56,11 +57,11 @@ def at_reference_period(df: DataFrame, col: str = "periodo") -> DataFrame:
 
 
 def latest_year(df: DataFrame, year: str = "anio", by: Sequence[str] = ()) -> DataFrame:
-    """Rows of the last year, overall or within each group."""
+    """Rows of the last year, overall or within each group; rows of null keys are a group."""
     if not by:
         return df.filter(F.col(year) == df.agg(F.max(year)).scalar())
-    last = df.groupBy(*by).agg(F.max(year).alias(year))
-    return df.join(last, [*by, year], "left_semi")
+    last = df.groupBy(*by).agg(F.max(year).alias("_last"))
+    return null_safe_join(df, last, list(by)).filter(F.col(year) == F.col("_last")).drop("_last")
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column | str], by: Sequence[str] = ()) -> DataFrame:

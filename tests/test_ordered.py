@@ -84,3 +84,10 @@ def test_gaps_and_index_of_null_groups(spark):
     assert index == {("a", None): 50.0, ("a", date(2020, 1, 1)): 100.0, ("a", date(2020, 1, 4)): 150.0, (None, date(2020, 1, 2)): 100.0, (None, date(2020, 1, 9)): 50.0}
     growth = series.yoy(df.withColumn("d", F.add_months("d", 0)), ["v"], "d", ["g"], months=0)
     assert growth.count() == 4
+
+
+def test_latest_year_of_null_groups(spark):
+    from panelwright.operators import filters
+
+    df = spark.createDataFrame([("a", 2020, 1), ("a", 2021, 2), (None, 2019, 3), (None, 2018, 4), ("b", None, 5)], "g string, anio int, v int")
+    assert sorted(r.v for r in filters.latest_year(df, by=["g"]).collect()) == [2, 3]
