@@ -15,10 +15,16 @@ DEPTH = 64
 
 
 def usable(vectors: DataFrame, vector_col: str, scale: int) -> DataFrame:
-    """Rows whose vector has components, none of them null or not finite, as whole numbers floor(scale * x)."""
+    """Rows whose vector has components, none of them null or not finite, as whole numbers floor(scale * x).
+
+    A component so large that a score or bound of such vectors could pass 64 bits fails the
+    job with a message that says so.
+    """
     x = F.col(vector_col)
+    most = F.sqrt(F.lit(float(1 << 62)) / F.size(x))
+    large = F.raise_error(F.lit(f"components of {vector_col} are too large for exact scores at scale {scale}"))
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
-    whole = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long"))
+    whole = F.transform(x, lambda v: F.when(F.abs(v.cast("double") * scale) < most - 1, F.floor(v.cast("double") * scale).cast("long")).otherwise(large))
     return vectors.filter(x.isNotNull() & (F.size(x) > 0)).filter(fine).withColumn("_v", whole)
 
 

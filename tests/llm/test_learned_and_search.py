@@ -90,6 +90,14 @@ def plain_top(vectors, queries, k):
     return sorted(out)
 
 
+def test_components_beyond_exact_scores_fail(spark):
+    vectors = spark.createDataFrame([(100, [1e18, 1.0]), (1, [1e18, 2.0])], "vec_id long, v array<double>")
+    with pytest.raises(Exception, match="too large for exact scores"):
+        topk.usable(vectors, "v", 1024).collect()
+    fine = spark.createDataFrame([(100, [1e5, -1.5])], "vec_id long, v array<double>")
+    assert topk.usable(fine, "v", 1024).first()._v == [102400000, -1536]
+
+
 def test_top_k_is_exact(spark):
     import numpy as np
 
