@@ -146,7 +146,11 @@ def _flat_tables(page: Column) -> Column:
         opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
         before = acc["depth"]
         depth = F.when(opens, before + 1).when(closes, F.greatest(before - 1, F.lit(0))).otherwise(before)
-        text = F.when((depth >= 2) | closes & (before >= 2), F.regexp_replace(piece, INNER, " ")).otherwise(piece)
+        text = (
+            F.when(depth >= 2, F.regexp_replace(piece, INNER, " "))
+            .when(closes & (before >= 2), F.regexp_replace(piece, r"(?i)^</table\b[^>]*>", " "))
+            .otherwise(piece)
+        )
         return F.struct(depth.alias("depth"), F.array_append(acc["parts"], F.when(depth >= 1, F.regexp_replace(text, INNER_HEADING, " ")).otherwise(text)).alias("parts"))
 
     begin = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("parts"))

@@ -70,3 +70,16 @@ def test_file_ids(spark, rows):
         "page_id bigint, url string, html string",
     )
     assert rows(codebook.file_ids(df)) == [("T1", "F7"), ("T2", "F9"), ("T3", "F9")]
+
+
+def test_heading_inside_a_table_is_text_of_its_cell(spark):
+    html = "<h2>T (C)</h2><h3>Categorías</h3><table><tr><th>Valor</th><th>Categoría</th></tr><tr><td>1</td><td><h4>Universo</h4> one</td></tr><tr><td>2</td><td>two</td></tr></table><h3>Universo</h3>all"
+    df = spark.createDataFrame([(1, "https://x.example/a", html)], "page_id bigint, url string, html string")
+    got = codebook.codebook(df).first()
+    assert [(c["valor"], c["categoria"]) for c in got["categorias"]] == [("1", "Universo one"), ("2", "two")] and got["universo"] == "all"
+
+
+def test_links_are_decoded_where_their_page_is_not(spark, rows):
+    html = "<p>caf&eacute; &amp; &notareference; <a href='/v?x=1&amp;n=&#233;'>caf&eacute; &lt;b&gt; &#x41;</a>"
+    df = spark.createDataFrame([(1, "https://x.example/a", html), (2, "https://x.example/a", None)], "page_id bigint, url string, html string")
+    assert rows(codebook.anchors(df)) == [(1, "https://x.example/a", 0, "/v?x=1&n=é", "café <b> A")]
