@@ -18,7 +18,7 @@ AHEAD, FACTOR, ROUNDS = 2, 8, 2
 #: Bits of a set of phrases that tasks look up: its size never grows, more phrases only let more of the others through.
 SET_BITS = 1 << 25
 #: Bytes of text whose phrases are counted together.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
 #: A-Z in lower case, a tab as a blank, ends of pieces as line ends.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
