@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.codes import code_variants, plain_code, table_code
 from panelwright.functions.text import strip
-from panelwright.operators.joins import BROADCAST_BYTES, join_lookup, settled
+from panelwright.operators.joins import BROADCAST_BYTES, null_safe_join, settled
 
 # Variables with at most this many codes and bytes are looked up in a map; others are joined.
 MAP_CODES = 256
@@ -72,7 +72,7 @@ def apply_labels(
     """Add ``<col>_label`` for every column the merged dictionary knows.
 
     Short code lists travel as maps in one scalar subquery and cost no shuffle and no
-    join. A longer list is joined, with the size check of :func:`join_lookup`.
+    join. All longer lists together cost one join and one shuffle of the table.
     """
     mine, columns, sizes = _variable_columns(df, dictionary, base)
     # Maps travel together, so their sum is bounded too; the smallest lists go first.
@@ -91,21 +91,31 @@ def apply_labels(
         ]
         maps = mine.filter(F.col("variable").isin(short)).agg(F.struct(*entries).alias("maps")).scalar()
         out = out.withColumns({f"{columns[v]}{suffix}": _hit(maps.getField(v), columns[v]) for v in short})
-    for v in long:
-        spelled = mine.filter(F.col("variable") == v).groupBy(plain_code("code").alias("_key")).agg(
-            F.map_from_entries(F.collect_list(F.struct("code", "label"))).alias("_map")
-        )
-        keyed = out.withColumn("_key", plain_code(columns[v]))
-        joined = join_lookup(keyed, _as_entries(spelled), ["_key"])
-        out = joined.withColumn(
-            f"{columns[v]}{suffix}", _hit(F.map_from_entries("_map"), columns[v])
-        ).drop("_key", "_map")
-    return out
-
-
-def _as_entries(spelled: DataFrame) -> DataFrame:
-    # Arrays, unlike maps, can be measured and compared.
-    return spelled.withColumn("_map", F.map_entries("_map"))
+    return _join_labels(out, mine, {v: columns[v] for v in long}, suffix) if long else out
+
+
+def _join_labels(df: DataFrame, mine: DataFrame, columns: dict[str, str], suffix: str) -> DataFrame:
+    """Labels of many columns by one join: the fact is shuffled once for any number of them.
+
+    The distinct combinations of codes are taken apart into (variable, code), looked up
+    together and put together again; the fact joins the labelled combinations. Null codes
+    join like others.
+    """
+    codes = {f"_c{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(columns.values())}
+    keyed = df.withColumns(codes)
+    looks = F.array(*[
+        F.struct(F.lit(v).alias("variable"), code.alias("code"), F.lit(order).alias("_order"))
+        for name, v in zip(codes, columns) for order, code in enumerate((strip(F.col(name)), plain_code(name)))
+    ])
+    tall = keyed.select(*codes).distinct().select(*codes, F.inline(looks))
+    found = tall.join(mine.select("variable", "code", "label"), ["variable", "code"], "left")
+    # The exact spelling goes before the plain one.
+    labels = [
+        F.min_by("label", F.when((F.col("variable") == v) & F.col("label").isNotNull(), F.col("_order"))).alias(f"{c}{suffix}")
+        for v, c in columns.items()
+    ]
+    kept = [c for c in df.columns if c not in {f"{c}{suffix}" for c in columns.values()}]
+    return null_safe_join(keyed.select(*[f"`{c}`" for c in kept], *codes), found.groupBy(*codes).agg(*labels), list(codes), "left").drop(*codes)
 
 
 def missing_variables(variables: DataFrame, dictionary: DataFrame, df: DataFrame, base: str) -> DataFrame:
