@@ -101,7 +101,7 @@ def _join_labels(df: DataFrame, mine: DataFrame, columns: dict[str, str], suffix
     together and put together again; the fact joins the labelled combinations. Null codes
     join like others.
     """
-    codes = {f"_c{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(columns.values())}
+    codes = {f"_label_code{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(columns.values())}
     keyed = df.withColumns(codes)
     looks = F.array(*[
         F.struct(F.lit(v).alias("variable"), code.alias("code"), F.lit(order).alias("_order"))

@@ -293,7 +293,7 @@ def test_many_long_lists_are_one_join(spark):
     rows = [(f"SDEMT124", v, [(str(k), f"{v} is {k}", "", "") for k in range(300)]) for v in names]
     merged = labels.merge_dictionary(spark.createDataFrame(rows, "tabla string, variable string, categorias array<struct<valor:string,categoria:string,casos:string,porcentaje:string>>"))
     codes = [[None, "1", "01", " 7", "x", "299", "300", "0007", ""][(i * (k + 2)) % 9] for i in range(500) for k in range(4)]
-    df = spark.createDataFrame([(i, *codes[4 * i : 4 * i + 4]) for i in range(500)], "_key long, v1 string, v2 string, v3 string, v4 string")
+    df = spark.createDataFrame([(i, *codes[4 * i : 4 * i + 4]) for i in range(500)], "_c0 long, v1 string, v2 string, v3 string, v4 string")
     joined, mapped = labels.apply_labels(df, merged, "SDEMT"), labels.apply_labels(df, merged, "SDEMT", map_codes=10_000)
     assert sorted(joined.columns) == sorted(mapped.columns)
     order = sorted(mapped.columns)
