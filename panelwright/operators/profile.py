@@ -84,16 +84,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     shuffled or ordered, however many fall into one slice. Nulls are left out, NaN is above
     infinity; a column without values has no row.
     """
-    long = df.select(*[sortable(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]).unpivot([], list(cols), "column", "key").filter("key is not null")
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value").filter("value is not null")
+    # Inside a lambda, so that the steps of the key don't swell the compiled loop beyond what is optimised.
+    key = F.get(F.transform(F.array("value"), sortable), F.lit(0))
     position = [F.lit(p) * (F.col("total") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    slices = long.groupBy("column", F.shiftright("key", 48).alias("slice")).agg(F.count(F.lit(1)).alias("m"))
+    slices = long.groupBy("column", F.shiftright(key, 48).alias("slice")).agg(F.count(F.lit(1)).alias("m"))
     whole = F.sum("m").over(W.partitionBy("column"))
     slices = slices.withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long"), "total": whole}).withColumn("ranks", ranks)
     for shift in (48, 32, 16, 0):
         if shift < 48:
             # At most two slices a wanted quantile and column are kept: small enough to broadcast.
-            inside = long.withColumn("part", F.shiftright("key", shift + 16)).join(F.broadcast(kept), ["column", "part"])
+            # Their ends as doubles pass over the other values before a key is made.
+            least = F.shiftleft("part", shift + 16)
+            ends = kept.withColumns({"lo": from_sortable(least), "hi": from_sortable(least + F.lit((1 << shift + 16) - 1))}).withColumnRenamed("column", "_column")
+            within = (F.col("column") == F.col("_column")) & (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
+            inside = long.join(F.broadcast(ends), within).withColumn("key", key).filter(F.shiftright("key", shift + 16) == F.col("part"))
             slices = inside.groupBy("column", "part", F.shiftright("key", shift).alias("slice")).agg(
                 F.count(F.lit(1)).alias("m"), *[F.first(c).alias(c) for c in ("before", "total", "ranks")]
             )
