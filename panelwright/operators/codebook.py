@@ -8,9 +8,10 @@ characters and not the page.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,17 @@ def _references() -> dict[str, str]:
 
 
 ENTITIES = _references()
-# The commonest names are looked up before all others.
-COMMON = ("amp", "lt", "gt", "nbsp", "quot", "aacute", "eacute", "iacute", "oacute", "uacute", "ntilde")
+# The names are dealt out by checksum, so that a look-up compares a few of them and not all.
+SHELVES = 256
+
+
+def _shelves() -> list[dict[str, str]]:
+    shelves = [{} for _ in range(SHELVES)]
+    for name, text in ENTITIES.items():
+        shelves[crc32(name.encode()) % SHELVES][name] = text
+    return shelves
+
+
 # Attributes of the overview table: output column, label shown, accepted spelling.
 OVERVIEW_ATTRIBUTES = (
     ("valido", "Válido", r"(?iu)^válido$"),
@@ -79,7 +89,7 @@ def _col(c: Column | str) -> Column:
 
 def clean_html(c: Column | str) -> Column:
     """The page without comments, scripts and styles, whose text could look like tags."""
-    return F.regexp_replace(_col(c), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
+    return F.regexp_replace(_col(c), r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)", " ")
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -88,18 +98,13 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _decoded(text: Column) -> Column:
-    """Named and numeric references as characters; those of < > & stay, in named form.
-
-    Each distinct name of a text is looked up once in the table of all names.
-    """
-    def table(names) -> Column:
-        return F.create_map(*[F.lit(text) for name in names for text in (name, ENTITIES[name])])
-
-    def known(name: Column) -> Column:
-        return F.coalesce(F.try_element_at(table(COMMON), name), F.try_element_at(table(ENTITIES), name))
+    """Named and numeric references as characters; those of < > & stay, in named form."""
+    # No name or text holds these two characters.
+    entry, pair = F.lit("\x01"), F.lit("\x02")
+    shelves = F.array(*[F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in shelf.items())), entry, pair) for shelf in _shelves()])
 
-    def split_reference(piece: Column) -> Column:
-        return F.struct(F.regexp_extract(piece, REFERENCE, 1).alias("ref"), piece.alias("text"))
+    def named(ref: Column) -> Column:
+        return F.try_element_at(F.get(shelves, F.pmod(F.crc32(ref.cast("binary")), F.lit(SHELVES)).cast("int")), ref)
 
     def numbered(ref: Column) -> Column:
         number = F.when(ref.rlike("^#[xX]"), F.conv(F.regexp_replace(ref, "^#[xX]", ""), 16, 10)).otherwise(F.conv(F.substring(ref, 2, 40), 10, 10)).cast("long")
@@ -107,20 +112,17 @@ def _decoded(text: Column) -> Column:
         markup = F.when(number == 0x3C, "&lt;").when(number == 0x3E, "&gt;").when(number == 0x26, "&amp;")
         return F.when(valid, F.coalesce(markup, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")))
 
-    def joined(pieces: Column) -> Column:
-        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), split_reference)
-        names = F.array_distinct(F.filter(F.transform(tail, lambda t: t["ref"]), lambda r: (r != "") & ~r.startswith("#")))
-
-        def one(names: Column) -> Column:
-            return _once(F.map_from_arrays(names, F.transform(names, known)), lambda own: F.array_join(F.transform(tail, lambda t: written(own, t)), ""))
+    def written(piece: Column) -> Column:
+        def of(ref: Column) -> Column:
+            char = F.when(ref == "", F.lit(None).cast("string")).when(ref.startswith("#"), numbered(ref)).otherwise(named(ref))
+            return F.coalesce(F.concat(char, F.substring(piece, F.length(ref) + 2, F.length(piece))), F.concat(F.lit("&"), piece))
 
-        def written(own: Column, t: Column) -> Column:
-            char = F.when(t["ref"].startswith("#"), numbered(t["ref"])).otherwise(F.try_element_at(own, t["ref"]))
-            return F.coalesce(F.concat(char, F.substring(t["text"], F.length(t["ref"]) + 2, F.length(t["text"]))), F.concat(F.lit("&"), t["text"]))
+        return _once(F.regexp_extract(piece, REFERENCE, 1), of)
 
-        return F.concat(F.get(pieces, F.lit(0)), _once(names, one))
+    def joined(pieces: Column) -> Column:
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), written), ""))
 
-    return F.when(text.contains("&"), _once(F.split(text, "&"), joined)).otherwise(text)
+    return _once(text, lambda t: F.when(t.contains("&"), _once(F.split(t, "&"), joined)).otherwise(t))
 
 
 def decoded_pages(pages: DataFrame) -> DataFrame:
@@ -205,10 +207,10 @@ def _first_table(names: Sequence[str]) -> Column:
 
 def table_rows(table: Column) -> Column:
     """array<array<string>>: the data cells of every row that has two or more."""
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?(?=<tr\b|</table|$)"), 0)
+    rows = F.regexp_extract_all(table, F.lit(r"(?i)<tr\b[^<]*+(?:<(?!tr\b|/table)[^<]*+)*+"), 0)
     cells = F.transform(
         rows, lambda r: F.transform(
-            F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)(?=</td|<td\b|</tr|</table|$)"), 1), strip_tags
+            F.regexp_extract_all(r, F.lit(r"(?i)<td\b[^>]*>([^<]*+(?:<(?!/?td\b|/td|/tr|/table)[^<]*+)*+)"), 1), strip_tags
         )
     )
     return F.filter(cells, lambda cs: F.size(cs) >= 2)
@@ -327,9 +329,17 @@ def _section_value(names: Sequence[str]) -> Column:
     return F.coalesce(*[_once(_section_text(n), lambda t: F.nullif(t, F.lit(""))) for n in names], F.lit(""))
 
 
+def sections(pages: DataFrame, names: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Paragraph text from a heading to the next, a column for each output name; the first heading that yields text wins.
+
+    All are read from one parse of a page.
+    """
+    return parsed_pages(pages).select("page_id", *[_section_value(headings).alias(out) for out, headings in names.items()])
+
+
 def section(pages: DataFrame, names: Sequence[str], out: str = "section") -> DataFrame:
-    """Paragraph text from a heading to the next; the first name that yields text wins."""
-    return parsed_pages(pages).select("page_id", _section_value(names).alias(out))
+    """``sections`` of one output column."""
+    return sections(pages, {out: names})
 
 
 def _folded(path: Column) -> Column:

@@ -39,10 +39,8 @@ def _question(spark, sf):
 
 def _sections(spark, sf):
     pages = part_pages(spark, sf)
-    found = codebook.section(pages, codebook.DEFINITION_HEADINGS, "text").withColumn("section", F.lit("definicion"))
-    for name, headings in (("universo", codebook.UNIVERSE_HEADINGS), ("fuente", codebook.SOURCE_HEADINGS)):
-        found = found.unionByName(codebook.section(pages, headings, "text").withColumn("section", F.lit(name)))
-    return found
+    headings = {"definicion": codebook.DEFINITION_HEADINGS, "universo": codebook.UNIVERSE_HEADINGS, "fuente": codebook.SOURCE_HEADINGS}
+    return codebook.sections(pages, headings).unpivot("page_id", list(headings), "section", "text").select("page_id", "text", "section")
 
 
 def _categories(spark, sf):

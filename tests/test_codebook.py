@@ -83,3 +83,36 @@ def test_links_are_decoded_where_their_page_is_not(spark, rows):
     html = "<p>caf&eacute; &amp; &notareference; <a href='/v?x=1&amp;n=&#233;'>caf&eacute; &lt;b&gt; &#x41;</a>"
     df = spark.createDataFrame([(1, "https://x.example/a", html), (2, "https://x.example/a", None)], "page_id bigint, url string, html string")
     assert rows(codebook.anchors(df)) == [(1, "https://x.example/a", 0, "/v?x=1&n=é", "café <b> A")]
+
+
+def test_every_name_is_decoded(spark):
+    from html.entities import html5
+
+    names = sorted(n[:-1] for n in html5 if n.endswith(";") and not set(html5[n]) & set("<>&"))
+    df = spark.createDataFrame([(i, "https://x.example/a", f"x&{n};y&{n}") for i, n in enumerate(names)], "page_id bigint, url string, html string")
+    got = {r.page_id: r._page for r in codebook.decoded_pages(df).select("page_id", "_page").collect()}
+    assert got == {i: f"x{html5[n + ';']}y&{n}" for i, n in enumerate(names)}
+    # A look-up compares the names of one shelf.
+    assert max(map(len, codebook._shelves())) < 32
+
+
+def test_sections_from_one_parse(spark, rows):
+    headings = {"definicion": codebook.DEFINITION_HEADINGS, "universo": codebook.UNIVERSE_HEADINGS, "fuente": codebook.SOURCE_HEADINGS}
+    together = codebook.sections(pages(spark), headings)
+    assert rows(together, "page_id", "universo") == rows(codebook.section(pages(spark), codebook.UNIVERSE_HEADINGS))
+    assert rows(together.filter("page_id = 1")) == [(1, "Texto suelto uno dos", "Todos Fuente Censo", "Censo")]
+
+
+def test_rows_and_cells_that_are_not_closed(spark):
+    html = "<h3>Categorías</h3><table><tr><td>1<td>a <b>b</b> < c<tr><TD class=x>2</TD>\n<td></td></tr><trx><td>3</td><tdx>no</tdx><td>z</table><td>out</td>"
+    df = spark.createDataFrame([(1, "https://x.example/a", html)], "page_id bigint, url string, html string")
+    got = codebook.categories(df).first()["categorias"]
+    assert [(c["valor"], c["categoria"], c["casos"]) for c in got] == [("1", "a b < c", ""), ("2", "", "3")]
+
+
+def test_pages_of_a_small_file_are_dealt_out(spark, tmp_path):
+    from suite.inputs import part_pages
+
+    spark.sql("SELECT id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size FROM range(200)").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    sizes = part_pages(spark, str(tmp_path)).rdd.glom().map(len).collect()
+    assert sum(sizes) == 200 and len(sizes) >= 4 * spark.sparkContext.defaultParallelism and max(sizes) <= 20
