@@ -42,33 +42,51 @@ def _count_values(df: DataFrame) -> DataFrame:
     )
 
 
-def sortable(value: Column) -> Column:
-    """A double as a long of the same order: its bits, negated below zero; NaN comes last, both zeros are 0.
+INFINITY = 0x7FF0 << 48
 
-    Built from exact steps only: scaling by powers of two and whole numbers below 2^53.
-    """
-    size = F.abs(value)
-    # The logarithm is corrected by one where rounding has passed a power of two.
-    near = F.least(F.floor(F.log2(size)), F.lit(1023))
-    power = F.pow(F.lit(2.0), near.cast("double"))
-    exponent = near - F.when(size < power, 1).otherwise(0) + F.when(size / power >= 2, 1).otherwise(0)
-    part = ((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * float(1 << 52)).cast("long")
-    normal = (exponent + 1023) * F.lit(1 << 52) + part
+
+def _near(size: Column) -> Column:
+    # The logarithm may be off by one where rounding has passed a power of two.
+    return F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+
+
+def _bits(value: Column, size: Column, near: Column, ratio: Column) -> Column:
+    def whole(exponent: Column, part: Column) -> Column:
+        return (exponent + 1023) * F.lit(1 << 52) + ((part - 1) * float(1 << 52)).cast("long")
+
+    normal = F.when(ratio < 1, whole(near - 1, ratio * 2)).when(ratio >= 2, whole(near + 1, ratio / 2)).otherwise(whole(near, ratio))
     small = (size * float(1 << 537) * float(1 << 537)).cast("long")
     bits = (
-        F.when(F.isnan(value), F.lit(0x7FF8 << 48)).when(size == float("inf"), F.lit(0x7FF0 << 48)).when(size == 0, F.lit(0))
+        F.when(F.isnan(value), F.lit(0x7FF8 << 48)).when(size == float("inf"), F.lit(INFINITY)).when(size == 0, F.lit(0))
         .when(size < 2.0**-1022, small).otherwise(normal)
     )
     return F.when(value < 0, -bits).otherwise(bits).cast("long")
 
 
+def sortable(value: Column) -> Column:
+    """A double as a long of the same order: its bits, negated below zero; NaN comes last, both zeros are 0.
+
+    Built from exact steps only: scaling by powers of two and whole numbers below 2^53.
+    """
+    size = F.abs(value)
+    near = _near(size)
+    return _bits(value, size, near, size / F.pow(F.lit(2.0), near.cast("double")))
+
+
+def _with_key(df: DataFrame) -> DataFrame:
+    """Adds ``key``, the sortable ``value``; the steps are columns of their own, so that each is computed once and compiled."""
+    steps = df.withColumn("_size", F.abs("value")).withColumn("_near", _near(F.col("_size")))
+    steps = steps.withColumn("_ratio", F.col("_size") / F.pow(F.lit(2.0), F.col("_near").cast("double")))
+    return steps.withColumn("key", _bits(F.col("value"), F.col("_size"), F.col("_near"), F.col("_ratio")))
+
+
 def from_sortable(key: Column) -> Column:
     """The double of a sortable long."""
     bits = F.abs(key)
     exponent, part = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
     normal = (part / float(1 << 52) + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
     size = (
-        F.when(bits > F.lit(0x7FF0 << 48), float("nan")).when(bits == F.lit(0x7FF0 << 48), float("inf"))
+        F.when(bits > F.lit(INFINITY), float("nan")).when(bits == F.lit(INFINITY), float("inf"))
         .when(exponent == 0, part / float(1 << 537) / float(1 << 537)).otherwise(normal)
     )
     return F.when(key < 0, -size).otherwise(size)
@@ -85,29 +103,31 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     infinity; a column without values has no row.
     """
     long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value").filter("value is not null")
-    # Inside a lambda, so that the steps of the key don't swell the compiled loop beyond what is optimised.
-    key = F.get(F.transform(F.array("value"), sortable), F.lit(0))
     position = [F.lit(p) * (F.col("total") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    slices = long.groupBy("column", F.shiftright(key, 48).alias("slice")).agg(F.count(F.lit(1)).alias("m"))
+    slices = _with_key(long).groupBy("column", F.shiftright("key", 48).alias("slice")).agg(F.count(F.lit(1)).alias("m"))
     whole = F.sum("m").over(W.partitionBy("column"))
-    slices = slices.withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long"), "total": whole}).withColumn("ranks", ranks)
+    slices = slices.withColumns({"part": F.lit(0).cast("long"), "before": F.lit(0).cast("long"), "total": whole})
     for shift in (48, 32, 16, 0):
         if shift < 48:
             # At most two slices a wanted quantile and column are kept: small enough to broadcast.
-            # Their ends as doubles pass over the other values before a key is made.
+            # Their ends as doubles hold just their values; the end of infinity's own slice would let NaN in.
             least = F.shiftleft("part", shift + 16)
-            ends = kept.withColumns({"lo": from_sortable(least), "hi": from_sortable(least + F.lit((1 << shift + 16) - 1))}).withColumnRenamed("column", "_column")
+            most = least + F.lit((1 << shift + 16) - 1)
+            most = F.when(least <= F.lit(INFINITY), F.least(most, F.lit(INFINITY))).otherwise(most)
+            ends = kept.select(F.col("column").alias("_column"), "part", "before", "total", from_sortable(least).alias("lo"), from_sortable(most).alias("hi"))
             within = (F.col("column") == F.col("_column")) & (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
-            inside = long.join(F.broadcast(ends), within).withColumn("key", key).filter(F.shiftright("key", shift + 16) == F.col("part"))
+            inside = _with_key(long.join(F.broadcast(ends), within))
+            # Aggregates of plain numbers are hashed; an array among them would have all rows sorted.
             slices = inside.groupBy("column", "part", F.shiftright("key", shift).alias("slice")).agg(
-                F.count(F.lit(1)).alias("m"), *[F.first(c).alias(c) for c in ("before", "total", "ranks")]
+                F.count(F.lit(1)).alias("m"), F.max("before").alias("before"), F.max("total").alias("total")
             )
         # At most 65,536 slices of a part reach this window.
         start = F.col("before") + F.sum("m").over(W.partitionBy("column", "part").orderBy("slice")) - F.col("m")
+        placed = slices.withColumn("start", start)
+        within_slice = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m")))
         kept = (
-            slices.withColumn("start", start)
-            .select("column", F.col("slice").alias("part"), F.col("start").alias("before"), "total", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m"))).alias("ranks"))
+            placed.select("column", F.col("slice").alias("part"), F.col("start").alias("before"), "total", within_slice.alias("ranks"))
             .filter(F.size("ranks") > 0)
         )
     found = kept.select("column", "total", from_sortable(F.col("part")).alias("value"), F.explode("ranks").alias("rank"))

@@ -79,3 +79,19 @@ def test_correlations_with_nulls_and_constants(spark):
                 assert value == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], rel=1e-9)
     plan = profile.corr_matrix(df, names)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Aggregate [_present")  # pairs are formed above the aggregate of the rows
+
+
+def test_quantile_rounds_hash_and_compile(spark):
+    """Rounds neither sort all rows for an array among their sums nor make keys inside lambdas, which are not compiled."""
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    plan = profile.exact_quantiles(df, ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert not any("log2" in line.lower() and "lambda" in line for line in plan.splitlines())
+
+
+def test_quantiles_beside_infinity_and_nan(spark):
+    """Neither zero nor infinity shares its slice with NaN."""
+    values = [-math.inf, -0.0, 0.0, math.inf, math.inf, math.nan, math.nan, math.nan]
+    probs = [k / 7 for k in range(8)]
+    got = profile.exact_quantiles(spark.createDataFrame([(v,) for v in values], "x double"), ["x"], probs).first().quantiles
+    assert got[:5] == [-math.inf, 0.0, 0.0, math.inf, math.inf] and all(map(math.isnan, got[5:]))
