@@ -5,17 +5,12 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import arrow_column, arrow_map, written
 
 #: Share of the other pages with one reference that repeat a node's text where their template has it.
 CONSTANT = 0.9
-#: References a host can have, one for each of its commonest layouts; pages of other layouts are aligned with the first.
-LAYOUTS = 4
-#: Stands for the layouts of all pages where no two pages share one.
-ANY = -1
 #: Containers whose marks, down to a depth below the body, are a page's layout.
 CONTAINERS, DEPTH = frozenset("article aside body div footer form header main nav section table".split()), 3
 #: Shares of a reference's article text that a template may take: within marked articles, and on pages that mark none.
@@ -188,44 +183,40 @@ def _trees():
     return pairs
 
 
-def references(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, references array of (layout, page)): a page of each of the commonest layouts of every host with two pages or more.
-
-    The page of a layout is that of the least hash. Layouts of a single page have no
-    reference of their own; if all are, the first one's page stands for the host.
-    """
+def laid_out(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(_id, _url, _host, _page, _layout): every page with its host and the layout of its tree, written once for the steps that follow."""
     def make():
         from panelwright.llm.dom import parse
 
         return lambda pages: [layout(parse(p)) for p in pages.to_pylist()]
 
-    some = pages.filter(F.length(html_col) > 0).select(host(url_col).alias("_host"), F.col(id_col).alias("_id"), F.col(html_col).alias("_h"))
-    laid = some.withColumn("_layout", arrow_column(some, F.col("_h"), "long", make))
-    first = F.min(F.struct(F.xxhash64("_id", "_h").alias("_x"), "_h")).alias("_first")
-    each = laid.groupBy("_host", "_layout").agg(first, F.count(F.lit(1)).alias("_n"))
-    order = W.partitionBy("_host").orderBy(F.desc("_n"), "_layout")
-    top = each.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= LAYOUTS)
-    kept = top.filter("_k = 1 or _n > 1").withColumn("_all", F.sum("_n").over(W.partitionBy("_host"))).filter("_all > 1 or _k > 1")
-    any_layout = F.when(F.col("_n") > 1, F.col("_layout")).otherwise(F.lit(ANY)).cast("long").alias("_layout")
-    listed = F.sort_array(F.collect_list(F.struct("_k", any_layout, F.col("_first._h").alias("_page"))))
-    return kept.groupBy("_host").agg(F.transform(listed, lambda r: F.struct(r["_layout"].alias("layout"), r["_page"].alias("page"))).alias("_references"))
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host(url_col).alias("_host"), F.coalesce(html_col, F.lit("")).alias("_page"))
+    return written(rows.withColumn("_layout", arrow_column(rows, F.col("_page"), "long", make)))
 
 
-def _chosen(tree, references: list[dict]) -> tuple[int, bool]:
-    """The reference of a page, that of its layout or else the first, and whether the page is of the reference's layout."""
-    own = layout(tree)
-    return next(((k, True) for k, r in enumerate(references) if r["layout"] in (own, ANY)), (0, False))
+def references(laid: DataFrame) -> DataFrame:
+    """(_host, _layout, _reference, _first): a page of each layout that two or more pages of a host share.
+
+    The page of a layout is that of the least hash. The host's commonest layout is marked
+    as first: pages whose layout no other page shares are aligned with it. A host without
+    two pages of one layout has no reference.
+    """
+    least = F.min(F.struct(F.xxhash64("_id", "_page").alias("_x"), "_page")).alias("_least")
+    each = laid.filter(F.length("_page") > 0).groupBy("_host", "_layout").agg(least, F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    shared = written(each.select("_host", "_layout", F.col("_least._page").alias("_reference"), "_n"))
+    commonest = shared.groupBy("_host").agg(F.max_by("_layout", F.struct("_n", -F.col("_layout"))).alias("_common"))
+    return shared.join(commonest, "_host").select("_host", "_layout", "_reference", (F.col("_layout") == F.col("_common")).alias("_first"))
 
 
-def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, references array of (layout, page), constant array<array<int>>): the places of each reference tree whose text is template.
+def templates(laid: DataFrame) -> DataFrame:
+    """(_host, _layout, _reference, _first, _constant array<int>): the places of each reference tree whose text is template.
 
     Every page is aligned with the reference of its layout; a place is template if nearly
     all the other pages of that layout match it with the same text. If that
     would take most of the article text of the reference, its pages are taken for copies
     and their articles for content.
     """
-    chosen = written(references(pages, id_col, url_col, html_col))
+    chosen = written(references(laid))
 
     def make():
         import pyarrow as pa
@@ -234,43 +225,39 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
         pairs = _trees()
 
-        def step(hosts, pages, references):
+        def step(hosts, layouts, pages, references):
             count = {}
-            for name, page, given in zip(hosts.to_pylist(), pages.to_pylist(), references.to_pylist()):
-                tree = parse(page)
-                k, counts = _chosen(tree, given)
-                if not counts:
-                    continue
-                count[name, k, -1] = count.get((name, k, -1), 0) + 1  # pages of the reference
-                for x, y in pairs(tree, given[k]["page"]):
+            for name, own, page, reference in zip(hosts.to_pylist(), layouts.to_pylist(), pages.to_pylist(), references.to_pylist()):
+                count[name, own, -1] = count.get((name, own, -1), 0) + 1  # pages of the reference
+                for x, y in pairs(parse(page), reference):
                     if any(type(i) is str for i in x.items) and (text := x.own_text()) and text == y.own_text():
-                        count[name, k, x.at] = count.get((name, k, x.at), 0) + 1
+                        count[name, own, x.at] = count.get((name, own, x.at), 0) + 1
             keys = list(count)
-            return [pa.array([k[0] for k in keys], pa.string()), *[pa.array([k[i] for k in keys], pa.int32()) for i in (1, 2)], pa.array([count[k] for k in keys], pa.int64())]
+            kinds = (pa.string(), pa.int64(), pa.int32())
+            return [*[pa.array([k[i] for k in keys], kind) for i, kind in enumerate(kinds)], pa.array([count[k] for k in keys], pa.int64())]
 
         return step
 
-    joined = pages.filter(F.length(html_col) > 0).select(host(url_col).alias("_host"), F.col(html_col).alias("_page")).join(chosen, "_host")
-    equal = arrow_map(joined, ["_host", "_page", "_references"], "_host string, k int, at int, n long", make).groupBy("_host", "k", "at").agg(F.sum("n").alias("n"))
+    joined = laid.filter(F.length("_page") > 0).select("_host", "_layout", "_page").join(chosen, ["_host", "_layout"])
+    equal = arrow_map(joined, ["_host", "_layout", "_page", "_reference"], "_host string, _layout long, at int, n long", make)
+    equal = equal.groupBy("_host", "_layout", "at").agg(F.sum("n").alias("n"))
     # Bounded by the reference page.
-    by_reference = equal.groupBy("_host", "k").agg(F.max(F.when(F.col("at") < 0, F.col("n"))).alias("_pages"), F.collect_list(F.struct("at", "n")).alias("_found"))
+    by_reference = equal.groupBy("_host", "_layout").agg(F.max(F.when(F.col("at") < 0, F.col("n"))).alias("_pages"), F.collect_list(F.struct("at", "n")).alias("_found"))
     others = lambda f: (f["at"] >= 0) & (F.col("_pages") > 1) & (f["n"] - 1 >= CONSTANT * (F.col("_pages") - 1))
-    places = by_reference.select("_host", "k", F.transform(F.filter("_found", others), lambda f: f["at"]).alias("_places"))
-    gathered = places.groupBy("_host").agg(F.map_from_entries(F.collect_list(F.struct("k", "_places"))).alias("_by"))
-    both = chosen.join(gathered, "_host", "left")
-    constant = F.transform(F.col("_references"), lambda r, k: F.coalesce(F.try_element_at("_by", k), F.array().cast("array<int>")))
-    both = both.select("_host", "_references", constant.alias("_places"))
+    places = by_reference.select("_host", "_layout", F.transform(F.filter("_found", others), lambda f: f["at"]).alias("_places"))
+    both = chosen.join(places, ["_host", "_layout"], "left").withColumn("_places", F.coalesce("_places", F.array().cast("array<int>")))
 
     def settle():
         from panelwright.llm.dom import parse
 
-        def step(hosts, references, places):
-            kept = [[template_places(parse(r["page"]), set(p)) if p else [] for r, p in zip(rs, ps)] for rs, ps in zip(references.to_pylist(), places.to_pylist())]
-            return [hosts, references, kept]
+        def step(hosts, layouts, references, first, places):
+            kept = [template_places(parse(r), set(p)) if p else [] for r, p in zip(references.to_pylist(), places.to_pylist())]
+            return [hosts, layouts, references, first, kept]
 
         return step
 
-    return written(arrow_map(both, ["_host", "_references", "_places"], "_host string, _references array<struct<layout:long,page:string>>, _constant array<array<int>>", settle))
+    schema = "_host string, _layout long, _reference string, _first boolean, _constant array<int>"
+    return written(arrow_map(both, ["_host", "_layout", "_reference", "_first", "_places"], schema, settle))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -282,10 +269,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Character references are decoded, white space inside a block is one blank. A null or
     empty page, or one without text, gives an empty text; a null url is a host of its own.
     Every row gives a row, repeated rows and null ids included; other columns are left out.
-    Pages join one small row a host, so a host with a third of all pages is split like any
-    other.
+    A page joins the one reference of its layout, or its host's first, so a host can have
+    any number of layouts, and one with a third of all pages is split like any other.
     """
-    known = templates(pages, id_col, url_col, html_col)
+    laid = laid_out(pages, id_col, url_col, html_col)
+    known = templates(laid)
 
     def make():
         from panelwright.llm.dom import parse
@@ -294,23 +282,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
         def step(ids, urls, pages, references, constants):
             texts = []
-            for page, given, places in zip(pages.to_pylist(), references.to_pylist(), constants.to_pylist()):
+            for page, reference, places in zip(pages.to_pylist(), references.to_pylist(), constants.to_pylist()):
                 tree, constant = parse(page), frozenset()
-                if given and any(places):
-                    k, _ = _chosen(tree, given)
-                    own = set(places[k])
-                    constant = frozenset(y.at for x, y in pairs(tree, given[k]["page"]) if x.at in own and x.own_text() == y.own_text()) if own else constant
+                if places:
+                    own = set(places)
+                    constant = frozenset(y.at for x, y in pairs(tree, reference) if x.at in own and x.own_text() == y.own_text())
                 texts.append("\n".join(blocks(tree, constant) or (blocks(tree, frozenset()) if constant else [])))
             return [ids, urls, texts, [len(t) for t in texts]]
 
         return step
 
-    joined = pages.select(
-        F.col(id_col), F.col(url_col), host(url_col).alias("_host"), F.coalesce(html_col, F.lit("")).alias("_page")
-    ).join(known, "_host", "left")
+    # Pages of a shared layout never take the first reference, even if theirs has no template.
+    own = known.select("_host", "_layout", F.lit(True).alias("_shared"), "_reference", "_constant")
+    first = known.filter("_first").select(F.col("_host").alias("_at"), F.col("_reference").alias("_reference_1"), F.col("_constant").alias("_constant_1"))
+    joined = laid.join(own, ["_host", "_layout"], "left")
+    joined = joined.join(first, (F.col("_host") == F.col("_at")) & F.col("_shared").isNull(), "left")
+    reference, constant = F.coalesce("_reference", "_reference_1"), F.coalesce("_constant", "_constant_1")
     kinds = dict(pages.dtypes)
     schema = f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string, n_chars long"
-    return arrow_map(joined, [id_col, url_col, "_page", "_references", "_constant"], schema, make)
+    return arrow_map(joined, ["_id", "_url", "_page", reference, constant], schema, make)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

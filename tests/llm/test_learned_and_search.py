@@ -188,6 +188,14 @@ def test_two_layouts_on_a_host(spark):
     assert extracted(spark, given) == {n: story(n) for n in range(8)}
 
 
+def test_every_layout_of_a_host_has_a_template(spark):
+    """Layouts beyond the commonest few are aligned with a page of their own."""
+    page = "<body><div class='top%d'><i>Edition %d of the morning paper</i><div class='text'><p>%s</p></div></div></body>"
+    given = [("h.example", page % (k, k, story(10 * k + n))) for k in range(9) for n in range(9 - k // 2)]
+    texts = [story(10 * k + n) for k in range(9) for n in range(9 - k // 2)]
+    assert extracted(spark, given) == dict(enumerate(texts))
+
+
 def plain_text(page, others):
     """Page text by a plain version: nodes whose path and text recur on nearly all other pages of the host go, then marks decide."""
     def paths(node, path=()):
